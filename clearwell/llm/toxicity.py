@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -13,42 +14,53 @@ from pyspark.sql import functions as F
 
 from clearwell.llm.common import documents
 
-#: Character classes of the kernel: 0 none, 1 to 26 the letters a to z, 27 other letters. Everything else is passed over.
-CLASSES = 28
-ACCENTS = str.maketrans("áàâäãåéèêëíìîïóòôöõúùûüñçýÿ014357@$!", "aaaaaaeeeeiiiiooooouuuuncyyoiaestasi")
+#: Character classes of the kernel: 0 none, 1 the start of a word, 2 to 27 the letters a to z, the others by code point.
+CLASSES = 48
+#: Digits and signs that stand for letters, if letters are on both sides.
+STANDS = str.maketrans("014357@$!", "oiaestasi")
 SENTENCE = re.compile(r"[.!?\n]+(?:\s+|$)")
 #: Single letters with blanks, dots or dashes between them are one word.
 SPACED = re.compile(r"(?<!\w)(?:\w[ .\-_*]+){3,}\w(?!\w)")
 
 
-def codes(word: str) -> list[int]:
-    """The classes of a word's letters; digits and signs that stand for letters become those, other characters go: inserted ones do not count."""
-    return [ord(c) - 96 if "a" <= c <= "z" else 27 for c in word.lower().translate(ACCENTS) if c.isalpha()]
+def letters(word: str) -> str:
+    """The letters of a word, with signs inside that stand for some; other characters count as inserted and go."""
+    start, end = 0, len(word)
+    while start < end and not word[start].isalpha():
+        start += 1
+    while end > start and not word[end - 1].isalpha():
+        end -= 1
+    word = word[start:end].lower()
+    return word if word.isalpha() else "".join(filter(str.isalpha, word.translate(STANDS)))
 
 
-def triples(words: list[str], decay: float, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The kernel's features of words: every subsequence of three letters within span letters, weighing decay to the letters it spans.
+def codes(word: str) -> list[int]:
+    return [1, *(ord(c) - 95 if "a" <= c <= "z" else 28 + ord(c) % (CLASSES - 28) for c in letters(word))]
 
-    (word, triple, weight), normed to 1 per word. The inner product of two words is their gap-weighted subsequence kernel.
-    """
-    own = [c[:64] if len(c) > 64 else c for c in map(codes, words)]  # no word that is an insult is longer; the rest of a longer run is read as words of its own below
+
+def triples(own: list[list[int]], decay: float, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, triple, weight): each subsequence of three letters within span letters of the coded words, weighing decay to the letters between."""
     length = max([3, *map(len, own)])
-    a = np.zeros((len(words), length), np.int64)
+    a = np.zeros((len(own), length), np.int32)
     for i, c in enumerate(own):
         a[i, : len(c)] = c
     parts = []
     for j in range(1, span - 1):
-        for k in range(j + 1, span):
-            if k >= length:
-                continue
-            x, y, z = a[:, : length - k], a[:, j : length - k + j], a[:, k:]
+        for k in range(j + 1, min(span, length)):
+            z = a[:, k:]
+            code = (a[:, : length - k] * CLASSES + a[:, j : length - k + j]) * CLASSES + z
             word, at = np.nonzero(z)
-            parts.append((word, (x[word, at] * CLASSES + y[word, at]) * CLASSES + z[word, at], np.full(len(word), decay ** (k - 2))))
-    word, triple, weight = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*parts, strict=True))
+            parts.append((word, code[word, at], np.full(len(word), decay ** (k - 2))))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def normed(own: list[list[int]], decay: float, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same with each triple of a word once, and weights of norm 1: inner products are the gap-weighted subsequence kernel."""
+    word, triple, weight = triples(own, decay, span)
     key, at = np.unique(word * CLASSES**3 + triple, return_inverse=True)
     weight = np.bincount(at, weight)
     word, triple = key // CLASSES**3, key % CLASSES**3
-    norm = np.sqrt(np.bincount(word, weight**2, len(words)))
+    norm = np.sqrt(np.bincount(word, weight**2, len(own)))
     return word, triple, weight / norm[word]
 
 
@@ -65,32 +77,45 @@ def words_of(text: str) -> list[str]:
 class Kernel:
     """Kernel values of words with the landmarks; a word that none reaches floor counts as nothing. held: words kept at most."""
 
-    def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.45, held: int = 500_000):
+    def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.6, held: int = 500_000):
         self.landmarks, self.decay, self.span, self.floor, self.held = landmarks, decay, span, floor, held
-        word, triple, weight = triples(landmarks, decay, span)
+        self.parts = normed([codes(x) for x in landmarks], decay, span)
         self.table = np.zeros((CLASSES**3, len(landmarks)), np.float32)
-        self.table[triple, word] = weight
-        self.some = self.table.any(1)
+        self.table[self.parts[1], self.parts[0]] = self.parts[2]
+        self.most = self.table.max(1)
         self.known: dict[str, np.ndarray | None] = {}
 
     def between(self) -> np.ndarray:
-        word, triple, weight = triples(self.landmarks, self.decay, self.span)
+        word, triple, weight = self.parts
         out = np.zeros((len(self.landmarks),) * 2)
         np.add.at(out, word, weight[:, None] * self.table[triple])
         return out
 
+    def values(self, own: list[list[int]]) -> np.ndarray:
+        word, triple, weight = normed(own, self.decay, self.span)
+        some = self.most[triple] > 0
+        word, triple, weight = word[some], triple[some], weight[some].astype(np.float32)
+        k = np.zeros((len(own), len(self.landmarks)), np.float32)
+        if len(word):
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            k[word[starts]] = np.add.reduceat(weight[:, None] * self.table[triple], starts, axis=0)
+        return k
+
     def learn(self, words: list[str]) -> None:
+        """Most words are passed over by a bound: their triples' greatest weights in any landmark, over the least norm that they can have."""
         if len(self.known) > self.held:
             self.known.clear()
-        word, triple, weight = triples(words, self.decay, self.span)
-        own = self.some[triple]
-        word, triple, weight = word[own], triple[own], weight[own]
-        k = np.zeros((len(words), len(self.landmarks)), np.float32)
-        if len(word):
-            starts = np.flatnonzero(np.diff(word, prepend=-1))
-            k[word[starts]] = np.add.reduceat(weight[:, None].astype(np.float32) * self.table[triple], starts, axis=0)
-        near = k.max(1) >= self.floor
-        self.known.update((w, k[i] if near[i] else None) for i, w in enumerate(words))
+        self.known.update(dict.fromkeys(words))
+        coded = sorted(((c, w) for w in words if len(c := codes(w)) > 3), key=lambda x: len(x[0]))
+        for i in range(0, len(coded), 4000):
+            part = coded[i : i + 4000]
+            word, triple, weight = triples([c for c, _ in part], self.decay, self.span)
+            bound = np.bincount(word, weight * self.most[triple], len(part)) / np.sqrt(np.bincount(word, weight**2, len(part)))
+            part = [part[j] for j in np.flatnonzero(bound >= self.floor)]
+            if part:
+                for (_, w), k in zip(part, self.values([c for c, _ in part]), strict=True):
+                    if k.max() >= self.floor:
+                        self.known[w] = k
 
     def best(self, words: list[str]) -> np.ndarray:
         """By landmark the greatest kernel value of the words of a sentence."""
@@ -101,59 +126,78 @@ class Kernel:
         return np.max(rows, axis=0) if rows else np.zeros(len(self.landmarks), np.float32)
 
 
-def fit(rows: list[tuple[str, int]], *, landmarks: int = 48, least: float = 20.0, rounds: int = 60, penalty: float = 1e-3) -> dict:
+def strings(text: str) -> set[str]:
+    """The words of a text and their first 5, 6 and 7 letters."""
+    words = {x for w in set(words_of(text)) if len(x := letters(w)) > 2}
+    return words | {w[:k] for w in words for k in (5, 6, 7)}
+
+
+def _logistic(x: np.ndarray, labels: np.ndarray, weight: np.ndarray, rounds: int = 4000) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    middle, spread = x.mean(0), x.std(0) + 1e-6
+    z, w, b = (x - middle) / spread, np.zeros(x.shape[1]), 0.0
+    for _ in range(rounds):
+        g = weight * (1 / (1 + np.exp(-np.clip(z @ w + b, -30, 30))) - labels)
+        w, b = w - 1.0 * (z.T @ g + 1e-4 * w), b - 1.0 * g.sum()
+    return w, b, middle, spread
+
+
+def fit(rows: list[tuple[str, int]], *, landmarks: int = 48, least: float = 25.0, ratio: float = 4.0, alike: float = 0.8, rounds: int = 1200, penalty: float = 1e-3) -> dict:
     """Learns from (text, toxic).
 
-    Landmarks: the words that most favour toxic documents by log-likelihood ratio, of at least least: under one in 100,000 by chance. A sentence of a toxic document is labelled 1 if it holds one of
-    them, else left out; sentences of other documents are labelled 0. The machine is linear on the Nyström features, K^(-1/2) times
-    the kernel values with the landmarks, trained by hinge-loss subgradients; a logistic curve over document scores, the greatest of
-    the sentences', gives probabilities.
+    Landmarks: the words and word beginnings that most favour toxic documents by log-likelihood ratio (at least least: under one in a
+    million by chance), ratio times as frequent there, and not alike to an earlier one. A sentence counts as its
+    most toxic word. So the words of toxic documents' sentences that are or begin with a landmark are examples of 1, all words near a landmark in
+    the sentences of other documents, as often as they come, examples of 0. The machine is linear on the Nyström features, K^(-1/2) times the kernel values with the landmarks, trained by hinge-loss subgradients. A logistic curve
+    over the greatest margin of a document's sentences and over the numbers and shares of words with a high one gives probabilities.
     """
     seen, n = (Counter(), Counter()), [0, 0]
     for text, toxic in rows:
-        seen[toxic].update({w.strip(".,;:!?") for w in words_of(text)})
+        seen[toxic].update(strings(text))
         n[toxic] += 1
     if not all(n):
         return {"landmarks": [], "rate": n[1] / max(1, sum(n))}
+
     def gain(w: str) -> float:
-        """The log-likelihood ratio of the word's documents against no tie to the label; 0 where it favours documents of label 0."""
+        """The log-likelihood ratio against no tie to the label; 0 where it doesn't favour toxic documents ratio times."""
         k, rate = (seen[0][w], seen[1][w]), n[1] / sum(n)
         expected = (sum(k) * (1 - rate), sum(k) * rate)
-        return 2 * sum(x * np.log(x / e) for x, e in zip(k, expected, strict=True) if x) if k[1] > expected[1] else 0.0
-
-    sure = {w: g for w, k in seen[1].items() if k >= 3 and len(codes(w)) >= 3 and (g := gain(w)) >= least and seen[0][w] <= seen[1][w]}
-    chosen = sorted(sure, key=lambda w: (-sure[w], w))[:landmarks]
+        return 2 * sum(x * np.log(x / e) for x, e in zip(k, expected, strict=True) if x) if k[1] / n[1] > ratio * k[0] / n[0] else 0.0
+
+    found = {w: g for w, k in seen[1].items() if k >= 3 and (g := gain(w)) >= least}
+    chosen: list[str] = []
+    ranked = sorted(found, key=lambda w: (-found[w], -len(w), w))[: 20 * landmarks]
+    if ranked:
+        near = Kernel(ranked).between()
+        for i in range(len(ranked)):
+            if len(chosen) < landmarks and all(near[i, ranked.index(w)] < alike for w in chosen):
+                chosen.append(ranked[i])
     if not chosen:
         return {"landmarks": [], "rate": n[1] / sum(n)}
-    kernel = Kernel(chosen)
+    kernel, begins = Kernel(chosen), tuple(chosen)
     values, vectors = np.linalg.eigh(kernel.between() + 1e-3 * np.eye(len(chosen)))
     root = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
-    x, y = [], []
+    instances: tuple[Counter, Counter] = (Counter(), Counter())
     for text, toxic in rows:
-        for s in SENTENCE.split(text):
-            words = words_of(s)
-            if words and (not toxic or any(w.strip(".,;:!?") in sure for w in words)):
-                x.append(kernel.best(words))
-                y.append(toxic)
-    x, y = np.array(x) @ root, np.array(y) * 2.0 - 1
-    quiet = (x == 0).all(1) & (y < 0)  # alike: one row with their weight
-    weight = np.append(np.ones((~quiet).sum()), max(1, quiet.sum()))
-    x, y = np.vstack([x[~quiet], np.zeros(x.shape[1])]), np.append(y[~quiet], -1.0)
-    weight = np.where(y > 0, 0.5 * weight / weight[y > 0].sum(), 0.5 * weight / weight[y < 0].sum())
+        words = words_of(text)
+        kernel.best(words)
+        instances[toxic].update(w for w in words if kernel.known.get(w) is not None and (not toxic or letters(w).startswith(begins)))
+    if not instances[1]:
+        return {"landmarks": [], "rate": n[1] / sum(n)}
+    examples = [(kernel.best([w]), k, 2 * side - 1) for side in (0, 1) for w, k in instances[side].items()]
+    examples.append((np.zeros(len(chosen)), 1 + sum(instances[0].values()), -1))
+    x, weight, y = (np.array(v, float) for v in zip(*examples, strict=True))
+    x = x @ root
+    weight = np.where(y > 0, 0.4 * weight / weight[y > 0].sum(), 0.6 * weight / weight[y < 0].sum())
     w, b = np.zeros(x.shape[1]), 0.0
-    for t in range(1, rounds * 20):
+    for t in range(rounds):
         late = weight * (y * (x @ w + b) < 1) * y
         step = 1 / (penalty * (t + 1000))
         w, b = (1 - step * penalty) * w + step * (late @ x), b + step * late.sum() * 0.1
     model = {"landmarks": chosen, "root": root, "w": w, "b": b, "rate": n[1] / sum(n)}
-    scorer = Scorer(model | {"a": 1.0, "c": 0.0})
-    f, labels = np.array([scorer.margin(t) for t, _ in rows]), np.array([v for _, v in rows], float)
-    a, c, sides = 1.0, 0.0, np.where(labels > 0, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
-    for _ in range(3000):  # the sides weigh the same
-        p = 1 / (1 + np.exp(-np.clip(a * f + c, -30, 30)))
-        g = sides * (p - labels)
-        a, c = a - 0.5 * (g @ f), c - 0.5 * g.sum()
-    return model | {"a": a, "c": c}
+    scorer = Scorer(model)
+    x, labels = np.array([scorer.measures(t) for t, _ in rows]), np.array([v for _, v in rows], float)
+    sides = np.where(labels > 0, 0.3 / labels.sum(), 0.7 / (1 - labels).sum())  # a toxic document is rarer than a clean one
+    return model | {"last": _logistic(x, labels, sides)}
 
 
 class Scorer:
@@ -162,24 +206,23 @@ class Scorer:
         if self.kernel:
             self.line = model["root"] @ model["w"]
 
-    def margin(self, text: str) -> float:
-        """The greatest over the text's sentences. Only those with a word near a landmark differ from an empty one."""
+    def measures(self, text: str) -> list[float]:
+        """The greatest margin of a sentence, which is that of its most toxic word; the numbers of words over 0 and over 0.8 and their shares, in logarithms."""
         words = words_of(text)
-        known = self.kernel.known
-        if any(x not in known for x in words):
-            self.kernel.best(words)
-            known = self.kernel.known
-        if all(known.get(x, 0) is None for x in set(words)):
-            return float(self.model["b"])
-        return max([self.model["b"], *(float(self.kernel.best(words_of(s)) @ self.line + self.model["b"]) for s in SENTENCE.split(text))])
+        self.kernel.best([x for x in dict.fromkeys(words) if x not in self.kernel.known])
+        margins = [v @ self.line for x in words if (v := self.kernel.known.get(x)) is not None]
+        margins = np.array(margins) + self.model["b"] if margins else np.zeros(0)
+        over = [(margins > 0).sum(), (margins > 0.8).sum()]
+        return [max([self.model["b"], *margins.tolist()]), *(f for n in over for f in (math.log1p(n), math.log1p(1000 * n / (len(words) + 20))))]
 
     def score(self, text: str | None) -> float:
         if not self.kernel:
             return min(0.49, self.model["rate"])
-        return float(1 / (1 + np.exp(-np.clip(self.model["a"] * self.margin(text or "") + self.model["c"], -30, 30))))
+        w, b, middle, spread = self.model["last"]
+        return float(1 / (1 + np.exp(-np.clip((np.array(self.measures(text or "")) - middle) / spread @ w + b, -30, 30))))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, rows: int = 4000, characters: int = 30_000_000) -> dict:
+def train(docs: DataFrame, labels: DataFrame, *, rows: int = 2500, characters: int = 16_000_000) -> dict:
     """Fits on labelled rows whose crc32(doc_id as text) mod 5 is not 0: about rows of each label by hash, of characters in all at most.
 
     Only this bounded sample reaches the driver. A label other than 0 and 1, or a null, and a null or over-long text (100,000 characters) is no example.
