@@ -17,6 +17,9 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+SIGNS = frozenset(".,;:!?")
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE of the tokenizers library, without special tokens.
 
@@ -25,7 +28,7 @@ class Encoder:
     The ids equal those of the whole text (tested). held: pieces kept at most; with more, all are forgotten.
     """
 
-    def __init__(self, path: str, held: int = 400_000):
+    def __init__(self, path: str, held: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -53,12 +56,15 @@ class Encoder:
             known.clear()
             known[""] = b""
         missing = [x for x in dict.fromkeys(pieces) if x not in known]
-        if self.held and all(len(x) < 200 for x in missing):
-            known.update(zip(missing, self._bytes(missing), strict=True))
-            return [known[x] for x in pieces]
-        new = dict(zip(missing, self._bytes(missing), strict=True))
-        known.update((k, v) for k, v in new.items() if len(k) < 200)
-        return [known[x] if x in known else new[x] for x in pieces]
+        # a sign that ends a piece after a letter is cut off as well: fewer pieces are encoded
+        stems = {x: x[:-1] if x[-1:] in SIGNS and x[-2:-1].isalpha() else x for x in missing}
+        new = [x for x in dict.fromkeys((*stems.values(), *(x[-1] for x in missing if stems[x] != x))) if x not in known]
+        found = dict(zip(new, self._bytes(new), strict=True))
+        known.update((k, v) for k, v in found.items() if len(k) < 200)
+        of = lambda x: known[x] if x in known else found[x]
+        found.update((x, of(stem) + of(x[-1])) for x, stem in stems.items() if stem != x)
+        known.update((x, found[x]) for x in missing if len(x) < 200)
+        return [of(x) for x in pieces]
 
     @staticmethod
     def _regular(text: str) -> list[str]:
