@@ -43,6 +43,22 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict[str, object] = {}
+
+
+def held(key: str, make):
+    """What make() gives, kept in this process under key until another key is asked for: the tasks of a worker share one model and what it has learned."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def some(rows: list, n: int = 400):
+    """Runs of n rows: a model learns the new words of a run at once."""
+    return (rows[i : i + n] for i in range(0, len(rows), n))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

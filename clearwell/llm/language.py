@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import BASE, documents, mixed, stored
+from clearwell.llm.common import BASE, documents, held, mixed, some
 
 RUN = re.compile(r"[^\W\d_]+")
 #: Starts a word in the vocabulary.
@@ -33,7 +34,9 @@ class Vocabulary:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         found = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
         self.pieces = sorted(x for x in found if 0 < len(x) <= longest and RUN.fullmatch(x.replace(MARK, "", 1) or "a"))
-        hashes = np.concatenate([self._hashes([x], len(x))[len(x)][:, 0] for x in self.pieces])
+        self.pieces.sort(key=len)
+        by_length = [[x for x in self.pieces if len(x) == k] for k in range(1, longest + 1)]
+        hashes = np.concatenate([self._hashes(own, k + 1)[k + 1][:, 0] for k, own in enumerate(by_length) if own])
         order = np.argsort(hashes)
         self.hashes, self.ids, self.longest, self.cut, self.unknown = hashes[order], order, longest, cut, len(self.pieces)
 
@@ -105,10 +108,10 @@ def fit(counts: list[tuple[str, str, int]], path: str, *, rounds: int = 4, prior
 
 
 class Scorer:
-    """Log probability per language and letters of a text, each distinct blank-separated token scored once. held: tokens kept at most."""
+    """Log probability per language and letters of a text, each distinct blank-separated token scored once. most: tokens kept at most."""
 
-    def __init__(self, langs: list[str], table: np.ndarray, path: str, held: int = 400_000):
-        self.vocabulary, self.langs, self.table, self.held = Vocabulary(path), langs, table, held
+    def __init__(self, langs: list[str], table: np.ndarray, path: str, most: int = 600_000):
+        self.vocabulary, self.langs, self.table, self.most = Vocabulary(path), langs, table, most
         self.forget()
 
     def forget(self) -> None:
@@ -131,20 +134,18 @@ class Scorer:
         self.known.update(zip(tokens, range(self.used, self.used + len(tokens)), strict=True))
         self.used += len(tokens)
 
+    def prepare(self, texts: list[bytes | None]) -> None:
+        """Learns the new tokens of texts at once; what was learned before goes when it is too much."""
+        if self.used > self.most:
+            self.forget()
+        new = {t for x in texts if x for t in x.split()} - self.known.keys()
+        if new:
+            self.learn(sorted(new))
+
     def score(self, text: bytes | None) -> tuple[str, float]:
-        """The likeliest language, and its posterior probability under equal priors; und and 0 where there is no letter."""
-        tokens = (text or b"").split()
-        known = self.known
-        try:
-            at = [known[x] for x in tokens]
-        except KeyError:
-            if self.used > self.held:
-                self.forget()
-            self.learn([x for x in dict.fromkeys(tokens) if x not in self.known])
-            at = [self.known[x] for x in tokens]
-        if not at:
-            return "und", 0.0
-        total = self.rows[at].sum(0)
+        """The likeliest language, and its posterior probability under equal priors; und and 0 where there is no letter. After prepare()."""
+        at = [self.known[x] for x in (text or b"").split()]
+        total = self.rows[at].sum(0) if at else np.zeros(1)
         if not total[-1] or not self.langs:
             return "und", 0.0
         odds = total[:-1] - total[:-1].max()
@@ -163,9 +164,6 @@ def train(docs: DataFrame, *, per_language: int = 1500, words: int = 200_000, pa
     return fit([tuple(x) for x in counts], path or default_path())
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, path: str | None = None) -> DataFrame:
     """docs with lang_pred and score (0 to 1), columns of these names replaced. Null texts and texts without a letter: und and 0.
 
@@ -173,12 +171,15 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, path: str
     """
     path, sent = path or default_path(), docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")))
-    column = docs.columns.index("text")
+    column, key = docs.columns.index("text"), f"language-{uuid.uuid4()}"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Scorer(*sent.value, path)
+        own = held(key, lambda: Scorer(*sent.value, path))
         for batch in batches:
-            found = [own.score(x) for x in batch.column(column).cast(pa.binary()).to_pylist()]
+            found = []
+            for texts in some(batch.column(column).cast(pa.binary()).to_pylist()):
+                own.prepare(texts)
+                found += map(own.score, texts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
     from pyspark.sql.types import StructType
@@ -192,5 +193,3 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.expr("coalesce(crc32(cast(doc_id as string)) % 3 = 1, false)").alias("held_out")
     return identify(docs.select("doc_id", "text"), train(docs)).select("doc_id", held_out, "lang_pred", "score")
 
-
-__all__ = ["Scorer", "Vocabulary", "fit", "forward", "identify", "op7_language", "stored", "train"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import documents
+from clearwell.llm.common import documents, held, some
 
 #: Character classes of the kernel: 0 none, 1 the start of a word, 2 to 27 the letters a to z, the others by code point.
 CLASSES = 48
@@ -75,10 +76,10 @@ def words_of(text: str) -> list[str]:
 
 
 class Kernel:
-    """Kernel values of words with the landmarks; a word that none reaches floor counts as nothing. held: words kept at most."""
+    """Kernel values of words with the landmarks; a word that none reaches floor counts as nothing. most: words kept at most."""
 
-    def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.6, held: int = 500_000):
-        self.landmarks, self.decay, self.span, self.floor, self.held = landmarks, decay, span, floor, held
+    def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.6, most: int = 600_000):
+        self.landmarks, self.decay, self.span, self.floor, self.most = landmarks, decay, span, floor, most
         self.parts = normed([codes(x) for x in landmarks], decay, span)
         self.table = np.zeros((CLASSES**3, len(landmarks)), np.float32)
         self.table[self.parts[1], self.parts[0]] = self.parts[2]
@@ -103,8 +104,6 @@ class Kernel:
 
     def learn(self, words: list[str]) -> None:
         """Most words are passed over by a bound: their triples' greatest weights in any landmark, over the least norm that they can have."""
-        if len(self.known) > self.held:
-            self.known.clear()
         self.known.update(dict.fromkeys(words))
         coded = sorted(((c, w) for w in words if len(c := codes(w)) > 3), key=lambda x: len(x[0]))
         for i in range(0, len(coded), 4000):
@@ -206,6 +205,13 @@ class Scorer:
         if self.kernel:
             self.line = model["root"] @ model["w"]
 
+    def prepare(self, texts: list[str | None]) -> None:
+        """Learns the new words of texts at once; what was learned before goes when it is too much."""
+        if self.kernel:
+            if len(self.kernel.known) > self.kernel.most:
+                self.kernel.known.clear()
+            self.kernel.best(sorted({w for x in texts if x for w in words_of(x)} - self.kernel.known.keys()))
+
     def measures(self, text: str) -> list[float]:
         """The greatest margin of a sentence, which is that of its most toxic word; the numbers of words over 0 and over 0.8 and their shares, in logarithms."""
         words = words_of(text)
@@ -243,12 +249,15 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = 2500, characters: i
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from 0.5) for each row of docs; a null or empty text has the score of a text without any word."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, key = docs.sparkSession.sparkContext.broadcast(model), f"toxicity-{uuid.uuid4()}"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Scorer(sent.value)
+        own = held(key, lambda: Scorer(sent.value))
         for batch in batches:
-            found = [own.score(x) for x in batch.column(1).to_pylist()]
+            found = []
+            for texts in some(batch.column(1).to_pylist()):
+                own.prepare(texts)
+                found += map(own.score, texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64()), pa.array([int(x >= 0.5) for x in found], pa.int32())], names=["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, score double, predicted int")
