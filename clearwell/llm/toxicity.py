@@ -83,7 +83,7 @@ class Kernel:
         self.parts = normed([codes(x) for x in landmarks], decay, span)
         self.table = np.zeros((CLASSES**3, len(landmarks)), np.float32)
         self.table[self.parts[1], self.parts[0]] = self.parts[2]
-        self.most = self.table.max(1)
+        self.peak = self.table.max(1)
         self.known: dict[str, np.ndarray | None] = {}
 
     def between(self) -> np.ndarray:
@@ -94,7 +94,7 @@ class Kernel:
 
     def values(self, own: list[list[int]]) -> np.ndarray:
         word, triple, weight = normed(own, self.decay, self.span)
-        some = self.most[triple] > 0
+        some = self.peak[triple] > 0
         word, triple, weight = word[some], triple[some], weight[some].astype(np.float32)
         k = np.zeros((len(own), len(self.landmarks)), np.float32)
         if len(word):
@@ -109,7 +109,7 @@ class Kernel:
         for i in range(0, len(coded), 4000):
             part = coded[i : i + 4000]
             word, triple, weight = triples([c for c, _ in part], self.decay, self.span)
-            bound = np.bincount(word, weight * self.most[triple], len(part)) / np.sqrt(np.bincount(word, weight**2, len(part)))
+            bound = np.bincount(word, weight * self.peak[triple], len(part)) / np.sqrt(np.bincount(word, weight**2, len(part)))
             part = [part[j] for j in np.flatnonzero(bound >= self.floor)]
             if part:
                 for (_, w), k in zip(part, self.values([c for c, _ in part]), strict=True):
