@@ -88,7 +88,10 @@ def fit(counts: list[tuple[str, str, int]], path: str, *, rounds: int = 4, prior
             words.setdefault(w, np.zeros(len(langs)))[langs.index(lang)] += n
     for w, n in words.items():
         groups[len(w)].append((w, n))
-    parts = [(vocabulary.lattice([w for w, _ in own], length), np.array([n for _, n in own])) for length, own in groups.items()]
+    parts = []
+    for length, own in groups.items():
+        for run in some(own, 5000):  # the sums of a run at a time are in memory
+            parts.append(({k: ids.astype(np.int32) for k, ids in vocabulary.lattice([w for w, _ in run], length).items()}, np.array([n for _, n in run])))
     for _ in range(rounds):
         seen = np.full_like(table, prior)
         seen[-1] = 0
@@ -153,9 +156,9 @@ class Scorer:
         return self.langs[best], float(1 / np.exp(odds).sum())
 
 
-def train(docs: DataFrame, *, per_language: int = 1500, words: int = 200_000, path: str | None = None) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, *, per_language: int = 1500, words: int = 100_000, path: str | None = None) -> tuple[list[str], np.ndarray]:
     """Fits on the labelled rows whose crc32(doc_id as text) mod 3 is not 1: about per_language of each language, chosen by hash, and of
-    their words the most frequent, 200,000 at most. Word counts come from Spark; only these bounded counts reach the driver."""
+    their words the most frequent, 100,000 at most. Word counts come from Spark; only these bounded counts reach the driver."""
     rows = docs.where("lang is not null and text is not null and doc_id is not null and crc32(cast(doc_id as string)) % 3 <> 1")
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256)
     chosen = rows.join(F.broadcast(sizes), "lang").where(F.expr(f"pmod(xxhash64(doc_id), 1000000) * count < {per_language} * 1000000D"))
