@@ -29,7 +29,7 @@ def _unplanes(x: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel().astype(np.int64))
 
 
-def marks(docs: DataFrame, *, shared_bits: int = 28, heavy_bits: int = 26, heavy: int = 48, k: int = 5, buckets: int | None = None) -> tuple[bytes, bytes]:
+def marks(docs: DataFrame, *, shared_bits: int = 27, heavy_bits: int = 25, heavy: int = 48, k: int = 5, buckets: int | None = None) -> tuple[bytes, bytes]:
     """Two bit maps over leading hash bits: shingles that two or more documents have, and those that heavy or more have.
 
     All documents count. Their sizes, 2**shared_bits and 2**heavy_bits bits, bound what is sent out. Distinct shingles may share a
@@ -87,7 +87,7 @@ def sets(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFram
     the threshold meet within the first n - ceil(3n / 4) + 1 shingles of either. Shingles without a partner fill places there
     but are not kept; first is the number of them. fragments: the set, cut by hash range.
     """
-    bits = {"shared_bits": 28, "heavy_bits": 26} | bits
+    bits = {"shared_bits": 27, "heavy_bits": 25} | bits
     maps = docs.sparkSession.sparkContext.broadcast(marks(docs, k=k, **bits))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +131,8 @@ def similar(pairs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def _close(na: str, ra: str, nb: str, rb: str):
-    """Sizes that allow the threshold, at a shingle that may be the first that both have."""
-    total = F.col(na) + F.col(nb)
-    return (3 * total <= 7 * F.least(na, nb)) & (7 * (F.col(ra) + F.col(rb)) <= total)
+    """Whether two sets may reach the threshold if this shingle, of these ranks, is the first that both have: what comes before it in either is not in the other."""
+    return 7 * F.least(F.col(na) - F.col(ra), F.col(nb) - F.col(rb)) >= 3 * (F.col(na) + F.col(nb))
 
 
 def join(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFrame:
