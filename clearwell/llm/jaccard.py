@@ -142,16 +142,18 @@ def join(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFram
     component. Equal sets are one class, compared once. Rows that repeat a doc_id with other text count for themselves; component_id
     is the smallest doc_id of all. Null doc_ids stay null and are passed over by that minimum where others are there.
 
-    First every document of a posting list is compared with the list's first and last class only. Then, in lists where more than one
+    First every document of a posting list is compared with two hubs only: the class with the fewest shingles that no other document
+    has, which is the likeliest to stand in the middle of its copies, and the last by hash. Then, in lists where more than one
     component is left, the pairs across components are compared too, but for those which the first pass had. Every pair that reaches
     the threshold is so either compared or in one component already: none is lost, and a group of copies costs no pairs of its own.
     """
     every = stored(sets(docs, k=k, fragments=fragments, **bits), "sets")
     kept = stored(every.where("prefix is not null").dropDuplicates(["cls"]).drop("doc_id"), "classes")
-    rows = kept.select("cls", F.col("n_shingles").alias("n"), "first", F.posexplode("prefix").alias("i", "h")).select("cls", "n", (F.col("first") + F.col("i")).alias("rank"), "h")
-    ends = rows.groupBy("h").agg(*(f(F.struct("cls", "n", "rank")).alias(x) for f, x in ((F.min, "lo"), (F.max, "hi")))).where("lo.cls <> hi.cls")
+    rows = kept.select("cls", F.col("n_shingles").alias("n"), "first", F.posexplode("prefix").alias("i", "h")).select("cls", "n", "first", (F.col("first") + F.col("i")).alias("rank"), "h")
+    ends = rows.groupBy("h").agg(F.min(F.struct("first", "cls", "n", "rank")).alias("lo"), F.max(F.struct("cls", "n", "rank")).alias("hi"), F.min("cls").alias("least"))
+    ends = ends.where("least <> hi.cls").drop("least")
     lists = stored(rows.join(ends, "h"), "lists")
-    near = [lists.where(F.col("cls") != F.col(f"{x}.cls")).where(_close("n", "rank", f"{x}.n", f"{x}.rank")).select(F.col(f"{x}.cls").alias("a"), F.col("cls").alias("b")) for x in ("lo", "hi")]
+    near = [lists.where(F.col("cls") != F.col(f"{x}.cls")).where(_close("n", "rank", f"{x}.n", f"{x}.rank")).select(F.least(f"{x}.cls", "cls").alias("a"), F.greatest(f"{x}.cls", "cls").alias("b")) for x in ("lo", "hi")]
     first = stored(similar(near[0].union(near[1]).distinct(), kept), "links")
     found = components(first, "a", "b")
     placed = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
