@@ -55,8 +55,8 @@ def write(docs: DataFrame, folder: str, *, tokenizer: str | None = None, end_id:
         temporary = f"{local}/.shard-{shard}.{os.getpid()}-{TaskContext.get().taskAttemptId()}"
         with open(temporary, "wb") as f:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    own.append(x := coder.encode(text or "") + end)
+                for doc_id, found in zip(batch.column(0).to_pylist(), coder.runs(batch.column(1).to_pylist()), strict=True):
+                    own.append(x := found + end)
                     sizes.append(len(x) // coder.kind.itemsize)
                     ids.append(doc_id)
                     held += len(x)

@@ -141,7 +141,7 @@ class Scorer:
         """Learns the new tokens of texts at once; what was learned before goes when it is too much."""
         if self.used > self.most:
             self.forget()
-        new = {t for x in texts if x for t in x.split()} - self.known.keys()
+        new = set().union(*(x.split() for x in texts if x)).difference(self.known)
         if new:
             self.learn(sorted(new))
 

@@ -29,8 +29,8 @@ def pieces(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, e
         encode, part, seen = tokens.encoder(path), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(np.frombuffer(encode.encode(text or ""), encode.kind).astype("<u4"), np.uint32(end_id))
+            for doc_id, own in zip(batch.column(0).to_pylist(), encode.runs(batch.column(1).to_pylist()), strict=True):
+                ids = np.append(np.frombuffer(own, encode.kind).astype("<u4"), np.uint32(end_id))
                 first = (len(ids) - 1) % size + 1
                 for k, start in enumerate([0, *range(first, len(ids), size)]):
                     own = ids[start : first if k == 0 else start + size]

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Two white-space characters in a row, or white space that is neither a blank nor a line end, or the mark used for cutting: such texts are encoded as a whole.
-_IRREGULAR = re.compile("[ \n][ \n]|[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-
 
 def default_path() -> str:
     import public_tokenizers
@@ -17,15 +15,17 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-SIGNS = frozenset(".,;:!?")
+#: Cut off where they end a piece after a letter. None occurs in a special token's text.
+SIGNS = ".,;:!?$*#&%"
 
 
 class Encoder:
     """Ids of texts by a byte-level BPE of the tokenizers library, without special tokens.
 
     Byte-level BPE never merges across the cuts of its pre-tokenizer, and that always cuts before a blank between two other
-    characters and on both sides of a lone line end. So a text is cut there, and the ids of each piece are kept for later texts.
-    The ids equal those of the whole text (tested). held: pieces kept at most; with more, all are forgotten.
+    characters, on both sides of a lone line end, and between a letter and a sign. So a text is cut there, the new pieces of a
+    run of texts are encoded at once, and the ids of each piece are kept for later texts. The ids equal those of the whole text
+    (tested). held: pieces kept at most; with more, all are forgotten.
     """
 
     def __init__(self, path: str, held: int = 1_200_000):
@@ -35,36 +35,51 @@ class Encoder:
         self.tokenizer, self.held, self.known = Tokenizer.from_file(path), held, {}
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def encode(self, text: str) -> bytes:
         """The ids, as little-endian integers of self.kind."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        cut = [self._cut(x) for x in texts]
+        if len(self.known) > self.held:
+            self.known.clear()
+        new = set().union(*cut).difference(self.known)
+        if new:
+            self._learn(new)
+        of = self.known.__getitem__
+        out = [b"".join(map(of, x)) for x in cut]
+        for x in new:
+            if len(x) >= 200:
+                del self.known[x]
+        return out
+
+    def runs(self, texts: Iterable[str | None], characters: int = 1_000_000) -> Iterator[bytes]:
+        """The ids of each text, a run of about so many characters at a time; null: an empty text."""
+        own, size = [], 0
+        for text in texts:
+            own.append(text or "")
+            size += len(own[-1])
+            if size > characters:
+                yield from self.encode_all(own)
+                own, size = [], 0
+        yield from self.encode_all(own)
+
+    def _cut(self, text: str) -> list[str]:
         if not text:
-            return b""
-        if _IRREGULAR.search(text):
-            return b"".join(self._of(self._regular(text)))
-        return b"".join(self._of(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")))
-
-    def _of(self, pieces: list[str]) -> list[bytes]:
-        known = self.known
-        try:
-            return [known[x] for x in pieces]
-        except KeyError:
-            pass
-        if len(known) > self.held:
-            known.clear()
-            known[""] = b""
-        missing = [x for x in dict.fromkeys(pieces) if x not in known]
-        # a sign that ends a piece after a letter is cut off as well: fewer pieces are encoded
-        stems = {x: x[:-1] if x[-1:] in SIGNS and x[-2:-1].isalpha() else x for x in missing}
-        new = [x for x in dict.fromkeys((*stems.values(), *(x[-1] for x in missing if stems[x] != x))) if x not in known]
-        found = dict(zip(new, self._bytes(new), strict=True))
-        known.update((k, v) for k, v in found.items() if len(k) < 200)
-        of = lambda x: known[x] if x in known else found[x]
-        found.update((x, of(stem) + of(x[-1])) for x, stem in stems.items() if stem != x)
-        known.update((x, found[x]) for x in missing if len(x) < 200)
-        return [of(x) for x in pieces]
+            return []
+        if len(text.split()) != text.count(" ") + text.count("\n") + 1 or "\0" in text:
+            return self._regular(text)  # white space other than single blanks and line ends between words, or the mark used for cutting
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+
+    def _learn(self, new: set[str]) -> None:
+        stems = {x: stem for x in new if x[-1:] in SIGNS and (last := (stem := x.rstrip(SIGNS))[-1:]).isalpha() and last < "\u0250"}
+        whole = new.difference(stems).union(stems.values(), {x[len(stem) :] for x, stem in stems.items()})
+        whole = list(whole.difference(self.known))
+        found = [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+        ids = dict(zip(whole, found, strict=True))
+        self.known.update((x, y) for x, y in ids.items() if len(x) < 200 or x in new)
+        of = lambda x: ids[x] if x in ids else self.known[x]
+        self.known.update([(x, of(stem) + of(x[len(stem) :])) for x, stem in stems.items()])
 
     @staticmethod
     def _regular(text: str) -> list[str]:

@@ -210,7 +210,7 @@ class Scorer:
         if self.kernel:
             if len(self.kernel.known) > self.kernel.most:
                 self.kernel.known.clear()
-            self.kernel.best(sorted({w for x in texts if x for w in words_of(x)} - self.kernel.known.keys()))
+            self.kernel.best(sorted(set().union(*(words_of(x) for x in texts if x)).difference(self.kernel.known)))
 
     def measures(self, text: str) -> list[float]:
         """The greatest margin of a sentence, which is that of its most toxic word; the numbers of words over 0 and over 0.8 and their shares, in logarithms."""
