@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -46,10 +47,17 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 _held: dict[str, object] = {}
 
 
+def let_go() -> None:
+    """Frees what held() keeps in this process and gives free memory back to the system: tasks of later stages run in the same workers."""
+    _held.clear()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def held(key: str, make):
     """What make() gives, kept in this process under key until another key is asked for: the tasks of a worker share one model and what it has learned."""
     if key not in _held:
-        _held.clear()
+        let_go()
         _held[key] = make()
     return _held[key]
 

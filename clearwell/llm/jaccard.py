@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import components, documents, gram_hashes, partitions, stored, word_hashes
+from clearwell.llm.common import components, documents, gram_hashes, let_go, partitions, stored, word_hashes
 
 SETS = "doc_id long, n_shingles long, cls long, first int, prefix array<long>, fragments array<array<long>>"
 
@@ -46,6 +46,7 @@ def marks(docs: DataFrame, *, shared_bits: int = 27, heavy_bits: int = 25, heavy
             own = [(b, _planes(low[i:j]), times[i:j].tobytes()) for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if i < j]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*own, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "low", "times"])
 
+        let_go()
         held, size = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -58,6 +59,8 @@ def marks(docs: DataFrame, *, shared_bits: int = 27, heavy_bits: int = 25, heavy
                     held, size = [], 0
         if size:
             yield flush()
+        held = []
+        let_go()
 
     def join(pdf):
         import pandas as pd
@@ -91,6 +94,7 @@ def sets(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFram
     maps = docs.sparkSession.sparkContext.broadcast(marks(docs, k=k, **bits))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         shared, heavy = (np.frombuffer(x, np.uint8) for x in maps.value)
 
         def of(bit_map: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:

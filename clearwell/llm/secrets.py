@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import documents
+from clearwell.llm.common import documents, let_go
 
 #: The base kinds as the contract lists them, with the length that their last group or match must have.
 KINDS = (
@@ -236,6 +236,7 @@ def scan(docs: DataFrame, model: dict) -> DataFrame:
     kinds = (*[pa.int64()] * 4, pa.string(), pa.string(), pa.int64())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             out = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -268,6 +269,7 @@ def redact(docs: DataFrame, model: dict, *, mark: str = "[SECRET]") -> DataFrame
         return "".join([*out, text[at:]])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             columns = list(batch.columns)
             columns[column] = pa.array([one(x) for x in columns[column].to_pylist()], pa.string())

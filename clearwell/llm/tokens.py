@@ -8,6 +8,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from clearwell.llm.common import held
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -87,10 +89,5 @@ class Encoder:
         return re.split(r"(?<=[^\s\x1c-\x1f\x00])(?= [^\s\x1c-\x1f\x00])", text)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return held(f"encoder-{path}", lambda: Encoder(path))
