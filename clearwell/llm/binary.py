@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clearwell.llm import tokens
-from clearwell.llm.common import documents, new_path, partitions, stored
+from clearwell.llm.common import documents, new_path, partitions, stored, values
 
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -55,7 +55,7 @@ def write(docs: DataFrame, folder: str, *, tokenizer: str | None = None, end_id:
         temporary = f"{local}/.shard-{shard}.{os.getpid()}-{TaskContext.get().taskAttemptId()}"
         with open(temporary, "wb") as f:
             for batch in batches:
-                for doc_id, found in zip(batch.column(0).to_pylist(), coder.runs(batch.column(1).to_pylist()), strict=True):
+                for doc_id, found in zip(batch.column(0).to_pylist(), coder.runs(values(batch.column(1))), strict=True):
                     own.append(x := found + end)
                     sizes.append(len(x) // coder.kind.itemsize)
                     ids.append(doc_id)

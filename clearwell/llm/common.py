@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,7 @@ _held: dict[str, object] = {}
 def let_go() -> None:
     """Frees what held() keeps in this process and gives free memory back to the system: tasks of later stages run in the same workers."""
     _held.clear()
+    pa.default_memory_pool().release_unused()
     if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
         libc.malloc_trim(0)
 
@@ -62,6 +64,11 @@ def held(key: str, make):
     return _held[key]
 
 
+def values(column: pa.Array, n: int = 256):
+    """The values of a column; n at a time are Python objects."""
+    return (x for i in range(0, len(column), n) for x in column.slice(i, n).to_pylist())
+
+
 def some(rows: list, n: int = 400):
     """Runs of n rows: a model learns the new words of a run at once."""
     return (rows[i : i + n] for i in range(0, len(rows), n))

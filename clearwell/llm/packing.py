@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clearwell.llm import tokens
-from clearwell.llm.common import documents, stored
+from clearwell.llm.common import documents, stored, values
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
-def pieces(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, end_id: int = 0, known: int = 1_200_000) -> DataFrame:
     """Each document's token ids and end_id, cut into pieces of size ids; a longer document's first piece takes what is left over.
 
     part and nth count the pieces of a length within a task. A null or empty text is end_id alone; a null doc_id stays null.
@@ -26,10 +26,10 @@ def pieces(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, e
     path = tokenizer or tokens.default_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seen = tokens.encoder(path), TaskContext.get().partitionId(), Counter()
+        encode, part, seen = tokens.encoder(path, known), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
-            for doc_id, own in zip(batch.column(0).to_pylist(), encode.runs(batch.column(1).to_pylist()), strict=True):
+            for doc_id, own in zip(batch.column(0).to_pylist(), encode.runs(values(batch.column(1))), strict=True):
                 ids = np.append(np.frombuffer(own, encode.kind).astype("<u4"), np.uint32(end_id))
                 first = (len(ids) - 1) % size + 1
                 for k, start in enumerate([0, *range(first, len(ids), size)]):
@@ -141,15 +141,15 @@ def places(groups: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndar
     return {k: np.array(v, np.int64) for k, v in out.items()}
 
 
-def pack(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, end_id: int = 0, known: int = 1_200_000) -> DataFrame:
     """Each piece of docs with its sequence_id and offset; the sequences hold at most size tokens and have no gaps before their end.
 
     docs: doc_id, text; other columns are left out. Null text: an empty one. Rows that repeat a doc_id are packed as often as they come.
     An empty table gives none. To the driver come only the counts of the at most size lengths; what is sent out are the rows of
     places(), at most a few thousand groups of at most size lengths. Ranks within a length are the task's own counts plus the prefix
-    sums of the earlier tasks' counts, so no length is gathered in one task.
+    sums of the earlier tasks' counts, so no length is gathered in one task. known: pieces of text whose ids a worker remembers at most.
     """
-    cut = stored(pieces(docs, size=size, tokenizer=tokenizer, end_id=end_id), "pieces")
+    cut = stored(pieces(docs, size=size, tokenizer=tokenizer, end_id=end_id, known=known), "pieces")
     counts = stored(cut.groupBy("length", "part").agg(F.count("*").alias("n")), "lengths")
     histogram = {int(r.length): int(r.n) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     at = places(solve(histogram, size))

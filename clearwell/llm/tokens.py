@@ -89,5 +89,6 @@ class Encoder:
         return re.split(r"(?<=[^\s\x1c-\x1f\x00])(?= [^\s\x1c-\x1f\x00])", text)
 
 
-def encoder(path: str) -> Encoder:
-    return held(f"encoder-{path}", lambda: Encoder(path))
+def encoder(path: str, pieces: int = 1_200_000) -> Encoder:
+    """The encoder of this process, which keeps so many pieces at most."""
+    return held(f"encoder-{path}-{pieces}", lambda: Encoder(path, pieces))
