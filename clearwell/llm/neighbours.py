@@ -23,9 +23,41 @@ def _unit(v) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def build(x: np.ndarray, *, degree: int = 24, slack: float = 1.2, pool: int = 96) -> list[np.ndarray]:
-    """Adjacency lists of unit vectors: of each one's pool of nearest, taken nearest first, those that no taken one is closer to by slack; both ways."""
-    n = len(x)
+def _pruned(near: np.ndarray, own: np.ndarray, x: np.ndarray, degree: int, slack: float) -> list[int]:
+    """Of own, taken nearest first, at most degree that no taken one is closer to by slack."""
+    own = own[np.argsort(-near[own], kind="stable")]
+    far, between, taken = 2 - 2 * near[own], 2 - 2 * (x[own] @ x[own].T), []
+    alive = np.ones(len(own), bool)
+    for j in range(len(own)):
+        if alive[j]:
+            taken.append(int(own[j]))
+            if len(taken) == degree:
+                break
+            alive &= slack**2 * between[j] > far
+    return taken
+
+
+def _parts(graph: list[set[int]]) -> list[np.ndarray]:
+    """The connected components of a graph with edges both ways."""
+    seen, out = np.zeros(len(graph), bool), []
+    for i in range(len(graph)):
+        if not seen[i]:
+            seen[i], own = True, [i]
+            for j in own:
+                new = [k for k in graph[j] if not seen[k]]
+                seen[new] = True
+                own += new
+            out.append(np.array(own))
+    return out
+
+
+def build(x: np.ndarray, *, degree: int = 24, slack: float = 1.2, pool: int = 96, long: int = 8) -> list[np.ndarray]:
+    """Adjacency lists of unit vectors: of each one's pool of nearest, taken nearest first, those that no taken one is closer to by slack; both ways.
+
+    As many as long more come, by the same rule, from 32 random vectors. Components that are left are joined at their medoids, each
+    to the nearest of an earlier one, so that the graph is connected.
+    """
+    n, random = len(x), np.random.default_rng(6)
     out: list[set[int]] = [set() for _ in range(n)]
     for low in range(0, n, 512):
         near = x[low : low + 512] @ x.T
@@ -35,26 +67,33 @@ def build(x: np.ndarray, *, degree: int = 24, slack: float = 1.2, pool: int = 96
             continue
         best = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < n - 1 else np.argsort(-near, axis=1)[:, :k]
         for i, own in enumerate(best):
-            own = own[np.argsort(-near[i, own], kind="stable")]
-            far, between, taken = 2 - 2 * near[i, own], 2 - 2 * (x[own] @ x[own].T), []
-            alive = np.ones(len(own), bool)
-            for j in range(len(own)):
-                if alive[j]:
-                    taken.append(int(own[j]))
-                    if len(taken) == degree:
-                        break
-                    alive &= slack**2 * between[j] > far
+            taken = _pruned(near[i], own, x, degree, slack)
+            if k < n - 1:
+                other = np.unique(random.integers(0, n, 32))
+                taken += _pruned(near[i], other[other != low + i], x, long, slack)
             for j in taken:
                 out[low + i].add(j)
                 out[j].add(low + i)
+    parts = _parts(out)
+    medoids = np.array([own[(x[own] @ x[own].mean(0)).argmax()] for own in parts], np.int64)
+    for i in range(1, len(parts)):
+        a, b = int(medoids[i]), int(medoids[(x[medoids[:i]] @ x[medoids[i]]).argmax()])
+        out[a].add(b)
+        out[b].add(a)
     return [np.fromiter(s, np.int64, len(s)) for s in out]
 
 
+def reached(x: np.ndarray, least: float) -> np.ndarray:
+    """By vector the number of others with a cosine of least."""
+    return np.concatenate([(x[i : i + 512] @ x.T >= least).sum(1) for i in range(0, len(x), 512)]) - 1
+
+
 def search(x: np.ndarray, graph: list[np.ndarray], q: int, medoid: int, least: float, width: int) -> np.ndarray:
-    """The nodes with a cosine of least to node q: greedy search from the medoid with a beam of width, then on through every neighbour in range."""
+    """The nodes with a cosine of least to node q: greedy search from q and the medoid with a beam of width, then on through every neighbour in range."""
     seen = np.zeros(len(x), bool)
-    seen[medoid] = True
-    beam, value, done = np.array([medoid]), x[[medoid]] @ x[q], np.zeros(1, bool)
+    beam = np.unique([q, medoid])
+    seen[beam] = True
+    value, done = x[beam] @ x[q], np.zeros(len(beam), bool)
     while not done.all():
         i = int(np.flatnonzero(~done)[value[~done].argmax()])
         done[i] = True
@@ -99,6 +138,28 @@ def centres(points: DataFrame, *, shard: int, sample: int) -> dict[int, np.ndarr
     return out
 
 
+def ranges(x: np.ndarray, least: float, width: int):
+    """(q, nodes with a cosine of least to it) for each node that has any.
+
+    A search that finds fewer than there are is repeated with a beam of width, then made good by comparing q with all.
+    """
+    many = reached(x, least)
+    if not many.any():
+        return
+    own = np.flatnonzero(many)  # the others are in no range
+    x, many = x[own], many[own]
+    graph, medoid = build(x), int((x @ x.mean(0)).argmax())
+    for q in range(len(x)):
+        for beam in (1, width):
+            found = search(x, graph, q, medoid, least, beam)
+            if len(found) >= many[q]:
+                break
+        else:
+            found = np.flatnonzero(x @ x[q] >= least)
+            found = found[found != q]
+        yield int(own[q]), own[found]
+
+
 PLACED = "cls long, label int, v array<double>, shard int"
 
 
@@ -106,7 +167,7 @@ def link(vectors: DataFrame, *, least: float = 0.93, shard: int = 1500, overlap:
     """(a, b): the pairs of classes of equal (label, vector) with a cosine of least, in double precision.
 
     Every class goes to its label's overlap nearest centres. A shard of a label is dealt on over cells by hash so that none
-    outgrows a task: see _cells. Each task builds its graphs, unites their adjacency lists and searches from the medoid of each.
+    outgrows a task; every pair of its cells meets in one task, which builds one graph of both and searches it by ranges().
     """
     points, spark = vectors, vectors.sparkSession
     sent = spark.sparkContext.broadcast(centres(points.select(F.col("cls").alias("vec_id"), "label", "v"), shard=shard, sample=sample))
@@ -133,28 +194,36 @@ def link(vectors: DataFrame, *, least: float = 0.93, shard: int = 1500, overlap:
 
     def near(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cls").reset_index(drop=True)
-        x, n = _unit(pdf["v"]), len(pdf)
-        ids, cell = pdf["cls"].to_numpy(), pdf["cell"].to_numpy()
-        graph: list[set[int]] = [set() for _ in range(n)]
-        starts = []
-        for part in np.unique(cell):
-            own = np.flatnonzero(cell == part)
-            for i, adjacent in zip(own, build(x[own]), strict=True):
-                graph[i].update(own[adjacent].tolist())
-            starts.append(int(own[(x[own] @ x[own].mean(0)).argmax()]))
-        lists = [np.fromiter(s, np.int64, len(s)) for s in graph]
-        out = []
-        for q in range(n):
-            for part, start in zip(np.unique(cell), starts, strict=True):
-                if part < cell[q]:
-                    continue
-                found = search(x, lists, q, start, least - 1e-9, width)
-                out += [(min(ids[q], ids[j]), max(ids[q], ids[j])) for j in found]
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+        x, ids, cell = _unit(pdf["v"]), pdf["cls"].to_numpy(), pdf["cell"].to_numpy()
+        one, out = (cell == cell[0]).all(), []
+        for q, found in ranges(x, least - 1e-9, width):
+            found = found[(ids[found] > ids[q]) & (one | (cell[found] != cell[q]))]
+            out.append(np.column_stack([np.full(len(found), ids[q]), ids[found]]))
+        return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), np.int64), columns=["a", "b"])
 
     return dealt.groupBy("label", "shard", "x", "y").applyInPandas(near, "a long, b long").distinct()
 
 
+def exact(points: DataFrame, *, least: float, cell: int = 1500) -> DataFrame:
+    """(a, b): the pairs that link() looks for, all of them: the classes of a label are dealt over cells by hash and every two cells are compared in blocks."""
+    own = points.select("cls", "label", "v").withColumn("size", F.size("v"))
+    cut = own.groupBy("label", "size").agg(F.ceil(F.count("*") / cell).cast("int").alias("m"))
+    dealt = own.join(F.broadcast(cut), ["label", "size"]).withColumn("cell", F.expr("cast(pmod(xxhash64(cls), m) as int)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, m - 1)"))).withColumn("x", F.least("cell", "other")).withColumn("y", F.greatest("cell", "other"))
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, ids, cell = _unit(pdf["v"]), pdf["cls"].to_numpy(), pdf["cell"].to_numpy()
+        one, out = pdf["x"].iloc[0] == pdf["y"].iloc[0], []
+        for low in range(0, len(x), 512):
+            i, j = np.nonzero(x[low : low + 512] @ x.T >= least - 1e-9)
+            i += low
+            keep = (ids[i] < ids[j]) & (one | (cell[i] != cell[j]))
+            out.append(np.column_stack([ids[i[keep]], ids[j[keep]]]))
+        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+
+    return dealt.groupBy("label", "size", "x", "y").applyInPandas(pairs, "a long, b long")
+
+
 def verified(pairs: DataFrame, points: DataFrame, least: float) -> DataFrame:
     """pairs whose cosine, in double precision, is at least least."""
     a, b = (points.select(F.col("cls").alias(x), F.col("v").alias(f"v{x}"), F.col("norm").alias(f"n{x}")) for x in "ab")
@@ -193,7 +262,7 @@ def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, over
 
     Linked are vectors of equal label with a cosine of least. Vectors that are null, zero or hold null or non-finite components, and
     rows with a null label, link with nothing. Equal vectors of a label are one class, searched once; its members link with each other and with
-    all members of linked classes. If the audit finds less than recall, the search is repeated with more overlap and a wider beam.
+    all members of linked classes. If the audit finds less than recall, the search is repeated with more overlap and a wider beam, twice at most; then all pairs of a label are compared.
     """
     good = usable(vectors.select("vec_id", "embedding", F.col("label").cast("int").alias("label")))
     named = stored(good.withColumn("key", F.xxhash64("label", "v")), "vectors")
@@ -204,6 +273,8 @@ def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, over
         total, found = audit(points, links, least)
         if found >= recall * total:
             break
+    else:
+        links = stored(verified(exact(points, least=least), points, least), "links")
     both = links.union(links.select("b", "a")).toDF("cls", "other")
     more = both.join(points.select(F.col("cls").alias("other"), "copies"), "other").groupBy("cls").agg(F.sum("copies").alias("more"))
     comp = components(links, "a", "b").withColumnRenamed("node", "cls")

@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from clearwell.llm import binary, common, jaccard, language, mixing, neighbours, packing, quality, secrets, sharding, tokens, toxicity
 
 TEXTS = [
@@ -242,6 +244,31 @@ def test_neighbours_against_brute_force(spark):
     assert neighbours.dedup(df.limit(0)).count() == 0
 
 
+def test_neighbours_reach_every_group():
+    rng = np.random.default_rng(8)
+    for groups, size in ((10, 120), (20, 60)):
+        x = np.repeat(rng.normal(size=(groups, 64)), size, 0) + rng.normal(size=(groups * size, 64)) * 0.15
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        near = x @ x.T >= 0.93
+        graph = neighbours.build(x)
+        reach, more = {0}, [0]
+        while more:
+            more = [j for i in more for j in graph[i] if j not in reach and not reach.add(j)]
+        assert len(reach) == len(x)
+        medoid = int((x @ x.mean(0)).argmax())
+        found = [neighbours.search(x, graph, q, medoid, 0.93, 48) for q in range(len(x))]
+        assert near.sum() > len(x) * size * 0.9 and sum(map(len, found)) >= 0.99 * (near.sum() - len(x))
+        assert {(q, j) for q, own in neighbours.ranges(x, 0.93, 1) for j in own} == {(i, j) for i, j in zip(*np.nonzero(near), strict=True) if i != j}
+
+
+def test_neighbours_are_exact_where_the_audit_falls_short(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.normal(size=(4, 16)), 30, 0) + rng.normal(size=(120, 16)) * 0.05
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(neighbours, "link", lambda points, **_: points.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0))
+    assert all(r.n_links == 29 and r.component_id == r.vec_id // 30 * 30 for r in neighbours.dedup(df).collect())
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(8)
     syllables = {"aa": ["ton", "ver", "eth"], "bb": ["lich", "ung", "kei"]}
