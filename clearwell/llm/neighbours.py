@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 
 from clearwell.llm.common import components, stored
 
+log = logging.getLogger(__name__)
+
 
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, label, v (doubles): rows with a label and a vector that is neither null, zero nor with null or non-finite components."""
@@ -231,11 +235,25 @@ def verified(pairs: DataFrame, points: DataFrame, least: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(dot / (F.col("na") * F.col("nb")) >= least).select("a", "b")
 
 
-def audit(points: DataFrame, links: DataFrame, least: float, *, every: int = 100, most: int = 2000) -> tuple[int, int]:
-    """(pairs that brute force finds, of them in links): the classes whose id is divisible by every, most by hash at most, in one block against all rows."""
-    chosen = points.where(F.expr(f"pmod(cls, {every}) = 0")).orderBy(F.xxhash64("cls")).limit(most).select("cls", "label", "v").collect()
-    spark = points.sparkSession
-    sent = spark.sparkContext.broadcast([(r.cls, r.label, r.v) for r in chosen])
+def audit(points: DataFrame, links: DataFrame, least: float, *, every: int = 100, block: int = 2000) -> tuple[int, int]:
+    """(pairs that brute force finds, of them in links): all classes whose id is divisible by every, in blocks of about block by hash, each against all rows.
+
+    Adds a row (pairs, found) to the table recall in the shared folder and logs it.
+    """
+    chosen = points.where(F.expr(f"pmod(cls, {every}) = 0")).select("cls", "label", "v")
+    blocks = -(-chosen.count() // block)
+    total, hit = 0, 0
+    for i in range(blocks):
+        pairs = stored(_brute(points, chosen.where(F.expr(f"pmod(xxhash64(cls, 6), {blocks}) = {i}")).collect(), least, every), "audit")
+        total, hit = total + pairs.count(), hit + pairs.join(links, ["a", "b"], "left_semi").count()
+    stored(points.sparkSession.createDataFrame([(total, hit)], "pairs long, found long"), "recall")
+    log.warning("op6_embedding_dedup: recall %d of %d links of audited classes", hit, total)
+    return total, hit
+
+
+def _brute(points: DataFrame, chosen: list, least: float, every: int) -> DataFrame:
+    """(a, b): the pairs of the chosen rows with all rows. A pair of two audited classes is counted in the block of the smaller one."""
+    sent = points.sparkSession.sparkContext.broadcast([(r.cls, r.label, r.v) for r in chosen])
 
     def brute(batches):
         by: dict = {}
@@ -249,12 +267,12 @@ def audit(points: DataFrame, links: DataFrame, least: float, *, every: int = 100
                     ids, x = blocks[label, size]
                     other = own["cls"].to_numpy()
                     for i, j in zip(*np.nonzero(_unit(own["v"]) @ x.T >= least), strict=True):
-                        if other[i] != ids[j]:
+                        if ids[j] < other[i] or ids[j] > other[i] and other[i] % every:
                             out.append((min(other[i], ids[j]), max(other[i], ids[j])))
             yield pd.DataFrame(out, columns=["a", "b"])
 
-    exact = stored(verified(points.select("cls", "label", "v").mapInPandas(brute, "a long, b long").distinct(), points, least), "audit")
-    return exact.count(), exact.join(links, ["a", "b"], "left_semi").count()
+    found = points.select("cls", "label", "v").mapInPandas(brute, "a long, b long").distinct()
+    return verified(found, points, least)
 
 
 def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, overlap: int = 3, width: int = 48, **options) -> DataFrame:

@@ -269,6 +269,13 @@ def test_neighbours_are_exact_where_the_audit_falls_short(spark, monkeypatch):
     assert all(r.n_links == 29 and r.component_id == r.vec_id // 30 * 30 for r in neighbours.dedup(df).collect())
 
 
+def test_audit_takes_every_hundredth_class(spark):
+    points = spark.createDataFrame([(i, 0, [1.0, 0.0], 1.0) for i in range(0, 1000, 20)], "cls long, label int, v array<double>, norm double")
+    links = points.select(F.col("cls").alias("a")).crossJoin(points.select(F.col("cls").alias("b"))).where("a < b")
+    assert neighbours.audit(points, links, 0.93, block=3) == (10 * 49 - 45,) * 2
+    assert neighbours.audit(points, links.where("a <> 0"), 0.93, block=3) == (10 * 49 - 45, 10 * 49 - 45 - 49)
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(8)
     syllables = {"aa": ["ton", "ver", "eth"], "bb": ["lich", "ung", "kei"]}
