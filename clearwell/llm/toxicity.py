@@ -78,7 +78,7 @@ def words_of(text: str) -> list[str]:
 class Kernel:
     """Kernel values of words with the landmarks; a word that none reaches floor counts as nothing. most: words kept at most."""
 
-    def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.6, most: int = 600_000):
+    def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.2, most: int = 600_000):
         self.landmarks, self.decay, self.span, self.floor, self.most = landmarks, decay, span, floor, most
         self.parts = normed([codes(x) for x in landmarks], decay, span)
         self.table = np.zeros((CLASSES**3, len(landmarks)), np.float32)

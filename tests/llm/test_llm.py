@@ -193,6 +193,17 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.Scorer(toxicity.fit([("a", 0)])).score("x") < 0.5
 
 
+def test_toxicity_tolerates_an_inserted_letter():
+    rng = random.Random(6)
+    words = ["table", "river", "green", "walking", "softly", "paper", "window", "stone", "under", "bright"]
+    rows = [([rng.choice(words) for _ in range(40)] + (rng.sample(["idiot", "moron", "scum"], 2) if i % 4 == 0 else []), int(i % 4 == 0)) for i in range(400)]
+    scorer = toxicity.Scorer(toxicity.fit([(" ".join(x), y) for x, y in rows]))
+    plain = " ".join(words)
+    assert all(scorer.score(f"{plain} {w}") > 0.5 > scorer.score(plain) for w in ("idxiot", "idixot", "scxum", "moxron"))
+    scorer.kernel.best(["idxxiot", "scxxum"])
+    assert all(scorer.kernel.known[w] is not None for w in ("idxxiot", "scxxum"))
+
+
 def test_kernel_is_the_subsequence_kernel():
     def brute(a, b, decay, span):
         def grams(s):
