@@ -350,6 +350,28 @@ def test_quality(spark, docs, empty):
     assert quality.rules(empty).count() == 0
 
 
+def test_garbled_text_goes_by_perplexity_alone(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice(["ta", "re", "lo", "ni", "su", "mo", "ke", "pa"]) for _ in range(4))
+    known = [word() for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(known) for _ in range(80)), "en") for i in range(100)]
+    rows += [(1000 + i, " ".join(word() for _ in range(80)), "en") for i in range(3)]
+    got = {r.doc_id: r for r in quality.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(r.base_failed for r in got.values()) and not any(got[1000 + i].kept for i in range(3)) and sum(got[i].kept for i in range(100)) >= 97
+
+
+def test_words_are_counted_exactly(spark):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(200)) for _ in range(60)] + [None, ""]
+    model = quality.Words(*quality.count_words(spark.createDataFrame([(x,) for x in texts], "text string")))
+    n = Counter(w for x in texts if x for w in x.split())
+    h = {w: int(common.word_hashes(w.encode()).view(np.int64)[0]) for w in n}
+    own = sorted(n, key=h.get)
+    assert model.counts(np.array([h[w] for w in own])).sum(1).tolist() == [n[w] for w in own]
+    assert model.totals[:, 0].sum() == n.total() and sum(len(k) for k, _ in model.files.values()) == len(n)
+    assert quality.Words(*quality.count_words(spark.createDataFrame([(None,)], "text string"))).surprises([b"a", None], [0, 1]) is not None
+
+
 def test_kneser_ney_sums_to_one():
     text = "the cat sat on the mat and the rat ran the test".split()
     code, _ = quality.trigrams([w.encode() for w in text])
