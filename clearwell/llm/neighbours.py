@@ -1,4 +1,4 @@
-"""Operator 6, embedding near-dedup: robust-pruned flat graphs on overlapping shards, range-expanding greedy search, audited and verified."""
+"""Operator 6, embedding near-dedup: robust-pruned flat graphs over overlapping cluster shards, batched range-expanding greedy search, audited and verified."""
 
 from __future__ import annotations
 
@@ -14,11 +14,12 @@ from clearwell.llm.common import components, stored
 log = logging.getLogger(__name__)
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, label, v (doubles): rows with a label and a vector that is neither null, zero nor with null or non-finite components."""
-    v = F.expr("transform(embedding, x -> cast(x as double))")
-    good = "label is not null and embedding is not null and size(embedding) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(v, x -> x <> 0)"
-    return vectors.select("vec_id", "label", "embedding", v.alias("v")).where(good).select("vec_id", "label", "v")
+def vectors_of(vectors: DataFrame) -> DataFrame:
+    """vec_id, label, v: v is the embedding in doubles, or null where the row links with nothing: its label is null, or its vector is null, empty, zero
+    or holds null or non-finite components."""
+    good = "label is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(v, x -> x <> 0)"
+    own = vectors.select("vec_id", F.col("label").cast("int").alias("label"), F.expr("transform(embedding, x -> cast(x as double))").alias("v"))
+    return own.select("vec_id", "label", F.expr(f"case when coalesce({good}, false) then v end").alias("v"))
 
 
 def _unit(v) -> np.ndarray:
@@ -27,279 +28,352 @@ def _unit(v) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _pruned(near: np.ndarray, own: np.ndarray, x: np.ndarray, degree: int, slack: float) -> list[int]:
-    """Of own, taken nearest first, at most degree that no taken one is closer to by slack."""
-    own = own[np.argsort(-near[own], kind="stable")]
-    far, between, taken = 2 - 2 * near[own], 2 - 2 * (x[own] @ x[own].T), []
-    alive = np.ones(len(own), bool)
-    for j in range(len(own)):
-        if alive[j]:
-            taken.append(int(own[j]))
-            if len(taken) == degree:
-                break
-            alive &= slack**2 * between[j] > far
-    return taken
-
-
-def _parts(graph: list[set[int]]) -> list[np.ndarray]:
-    """The connected components of a graph with edges both ways."""
-    seen, out = np.zeros(len(graph), bool), []
-    for i in range(len(graph)):
-        if not seen[i]:
-            seen[i], own = True, [i]
-            for j in own:
-                new = [k for k in graph[j] if not seen[k]]
-                seen[new] = True
-                own += new
-            out.append(np.array(own))
-    return out
-
-
-def build(x: np.ndarray, *, degree: int = 24, slack: float = 1.2, pool: int = 96, long: int = 8) -> list[np.ndarray]:
-    """Adjacency lists of unit vectors: of each one's pool of nearest, taken nearest first, those that no taken one is closer to by slack; both ways.
-
-    As many as long more come, by the same rule, from 32 random vectors. Components that are left are joined at their medoids, each
-    to the nearest of an earlier one, so that the graph is connected.
-    """
-    n, random = len(x), np.random.default_rng(6)
-    out: list[set[int]] = [set() for _ in range(n)]
-    for low in range(0, n, 512):
-        near = x[low : low + 512] @ x.T
-        near[np.arange(len(near)), np.arange(low, low + len(near))] = -2
-        k = min(pool, n - 1)
-        if k < 1:
-            continue
-        best = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < n - 1 else np.argsort(-near, axis=1)[:, :k]
-        for i, own in enumerate(best):
-            taken = _pruned(near[i], own, x, degree, slack)
-            if k < n - 1:
-                other = np.unique(random.integers(0, n, 32))
-                taken += _pruned(near[i], other[other != low + i], x, long, slack)
-            for j in taken:
-                out[low + i].add(j)
-                out[j].add(low + i)
-    parts = _parts(out)
-    medoids = np.array([own[(x[own] @ x[own].mean(0)).argmax()] for own in parts], np.int64)
-    for i in range(1, len(parts)):
-        a, b = int(medoids[i]), int(medoids[(x[medoids[:i]] @ x[medoids[i]]).argmax()])
-        out[a].add(b)
-        out[b].add(a)
-    return [np.fromiter(s, np.int64, len(s)) for s in out]
-
-
-def reached(x: np.ndarray, least: float) -> np.ndarray:
-    """By vector the number of others with a cosine of least."""
-    return np.concatenate([(x[i : i + 512] @ x.T >= least).sum(1) for i in range(0, len(x), 512)]) - 1
-
-
-def search(x: np.ndarray, graph: list[np.ndarray], q: int, medoid: int, least: float, width: int) -> np.ndarray:
-    """The nodes with a cosine of least to node q: greedy search from q and the medoid with a beam of width, then on through every neighbour in range."""
-    seen = np.zeros(len(x), bool)
-    beam = np.unique([q, medoid])
-    seen[beam] = True
-    value, done = x[beam] @ x[q], np.zeros(len(beam), bool)
-    while not done.all():
-        i = int(np.flatnonzero(~done)[value[~done].argmax()])
-        done[i] = True
-        new = graph[beam[i]]
-        new = new[~seen[new]]
-        if not len(new):
-            continue
-        seen[new] = True
-        beam, value, done = np.append(beam, new), np.append(value, x[new] @ x[q]), np.append(done, np.zeros(len(new), bool))
-        if len(beam) > width:
-            keep = np.argpartition(-value, width)[:width]
-            beam, value, done = beam[keep], value[keep], done[keep]
-    found = set(beam[value >= least].tolist())
-    frontier = list(found)
-    while frontier:
-        new = np.unique(np.concatenate([graph[i] for i in frontier]))
-        new = new[x[new] @ x[q] >= least]
-        frontier = [int(i) for i in new if int(i) not in found]
-        found.update(frontier)
-    found.discard(q)
-    return np.array(sorted(found), np.int64)
-
-
-def centres(points: DataFrame, *, shard: int, sample: int) -> dict[int, np.ndarray]:
-    """By label, centres of k-means on a sample by hash of at most sample vectors in all, one for about shard vectors of the label, 64 at most."""
-    sizes = {r.label: r["count"] for r in points.groupBy("label").count().orderBy(F.desc("count")).limit(4096).collect()}
-    share = min(1.0, sample / max(1, sum(sizes.values())))
-    rows = points.where(F.expr(f"pmod(xxhash64(vec_id, 6), 1000000) < {share * 1_000_000}")).orderBy(F.xxhash64("vec_id")).limit(sample).collect()
-    out = {}
-    for label, n in sizes.items():
-        own = [r.v for r in rows if r.label == label]
-        k = min(64, -(-n // shard), len(own))
-        if k < 2 or len({len(v) for v in own}) > 1:
-            continue
-        x, random = _unit(own), np.random.default_rng(6)
-        c = x[random.choice(len(x), k, replace=False)]
-        for _ in range(8):
-            near = (x @ c.T).argmax(1)
-            c = np.stack([x[near == j].mean(0) if (near == j).any() else c[j] for j in range(k)])
-            c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-        out[label] = c
-    return out
-
-
-def ranges(x: np.ndarray, least: float, width: int):
-    """(q, nodes with a cosine of least to it) for each node that has any.
-
-    A search that finds fewer than there are is repeated with a beam of width, then made good by comparing q with all.
-    """
-    many = reached(x, least)
-    if not many.any():
-        return
-    own = np.flatnonzero(many)  # the others are in no range
-    x, many = x[own], many[own]
-    graph, medoid = build(x), int((x @ x.mean(0)).argmax())
-    for q in range(len(x)):
-        for beam in (1, width):
-            found = search(x, graph, q, medoid, least, beam)
-            if len(found) >= many[q]:
-                break
-        else:
-            found = np.flatnonzero(x @ x[q] >= least)
-            found = found[found != q]
-        yield int(own[q]), own[found]
-
+def kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
+    """At most k unit centres of unit vectors."""
+    random = np.random.default_rng(6)
+    c = x[random.choice(len(x), min(k, len(x)), replace=False)]
+    for _ in range(rounds):
+        near = (x @ c.T).argmax(1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, near, x)
+        c = np.where(np.bincount(near, minlength=len(c))[:, None] > 0, sums, c)
+        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+    return c
 
-PLACED = "cls long, label int, v array<double>, shard int"
 
+def pruned(x: np.ndarray, *, pool: int, degree: int, slack: float) -> np.ndarray:
+    """(from, to) of robust-pruned edges of a shard: of each vector's pool nearest, taken nearest first, those that no taken one is closer to by slack.
 
-def link(vectors: DataFrame, *, least: float = 0.93, shard: int = 1500, overlap: int = 3, sample: int = 20_000, width: int = 48, cells: int = 8) -> DataFrame:
-    """(a, b): the pairs of classes of equal (label, vector) with a cosine of least, in double precision.
-
-    Every class goes to its label's overlap nearest centres. A shard of a label is dealt on over cells by hash so that none
-    outgrows a task; every pair of its cells meets in one task, which builds one graph of both and searches it by ranges().
+    All vectors of the shard take their next edge at once; the shard's size bounds the block product.
     """
-    points, spark = vectors, vectors.sparkSession
-    sent = spark.sparkContext.broadcast(centres(points.select(F.col("cls").alias("vec_id"), "label", "v"), shard=shard, sample=sample))
-
-    def place(batches):
-        for pdf in batches:
-            rows = []
-            for cls, label, v in zip(pdf["cls"], pdf["label"], pdf["v"], strict=True):
-                c = sent.value.get(label)
-                if c is None or len(v) != c.shape[1]:
-                    own = [-len(v)]
-                else:
-                    near = c @ _unit([v])[0]
-                    own = np.argsort(-near, kind="stable")[: max(overlap, 1)].tolist()
-                rows += [(cls, label, v, s) for s in own]
-            yield pd.DataFrame(rows, columns=["cls", "label", "v", "shard"])
-
-    placed = stored(points.select("cls", "label", "v").mapInPandas(place, PLACED), "placed")
-    sizes = placed.groupBy("label", "shard").count()
-    # a shard of n classes is cut into m cells of about shard classes; every pair of cells meets in one task
-    cut = sizes.select("label", "shard", F.ceil(F.col("count") / (2 * shard)).cast("int").alias("m"))
-    dealt = placed.join(F.broadcast(cut), ["label", "shard"]).withColumn("cell", F.expr("cast(pmod(xxhash64(cls), m) as int)"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, m - 1)"))).withColumn("x", F.least("cell", "other")).withColumn("y", F.greatest("cell", "other"))
-
-    def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("cls").reset_index(drop=True)
-        x, ids, cell = _unit(pdf["v"]), pdf["cls"].to_numpy(), pdf["cell"].to_numpy()
-        one, out = (cell == cell[0]).all(), []
-        for q, found in ranges(x, least - 1e-9, width):
-            found = found[(ids[found] > ids[q]) & (one | (cell[found] != cell[q]))]
-            out.append(np.column_stack([np.full(len(found), ids[q]), ids[found]]))
-        return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), np.int64), columns=["a", "b"])
-
-    return dealt.groupBy("label", "shard", "x", "y").applyInPandas(near, "a long, b long").distinct()
-
-
-def exact(points: DataFrame, *, least: float, cell: int = 1500) -> DataFrame:
-    """(a, b): the pairs that link() looks for, all of them: the classes of a label are dealt over cells by hash and every two cells are compared in blocks."""
-    own = points.select("cls", "label", "v").withColumn("size", F.size("v"))
-    cut = own.groupBy("label", "size").agg(F.ceil(F.count("*") / cell).cast("int").alias("m"))
-    dealt = own.join(F.broadcast(cut), ["label", "size"]).withColumn("cell", F.expr("cast(pmod(xxhash64(cls), m) as int)"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, m - 1)"))).withColumn("x", F.least("cell", "other")).withColumn("y", F.greatest("cell", "other"))
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, ids, cell = _unit(pdf["v"]), pdf["cls"].to_numpy(), pdf["cell"].to_numpy()
-        one, out = pdf["x"].iloc[0] == pdf["y"].iloc[0], []
-        for low in range(0, len(x), 512):
-            i, j = np.nonzero(x[low : low + 512] @ x.T >= least - 1e-9)
-            i += low
-            keep = (ids[i] < ids[j]) & (one | (cell[i] != cell[j]))
-            out.append(np.column_stack([ids[i[keep]], ids[j[keep]]]))
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
-
-    return dealt.groupBy("label", "size", "x", "y").applyInPandas(pairs, "a long, b long")
-
+    n = len(x)
+    near = x @ x.T
+    np.fill_diagonal(near, -2)
+    k = min(pool, n - 1)
+    if k < 1:
+        return np.empty((0, 2), np.int64)
+    own = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < n - 1 else np.argsort(-near, axis=1)[:, :k]
+    value = np.take_along_axis(near, own, 1)
+    far, alive, out, rows = 2 - 2 * value, np.ones(own.shape, bool), [], np.arange(n)
+    for _ in range(degree):
+        open_ = rows[alive.any(1)]
+        if not len(open_):
+            break
+        j = np.where(alive[open_], value[open_], -3).argmax(1)
+        to = own[open_, j]
+        out.append(np.column_stack([open_, to]))
+        between = 2 - 2 * np.take_along_axis(near[to], own[open_], 1)
+        between[own[open_] == to[:, None]] = 0
+        alive[open_] &= slack**2 * between > far[open_]
+    return np.concatenate(out)
 
-def verified(pairs: DataFrame, points: DataFrame, least: float) -> DataFrame:
-    """pairs whose cosine, in double precision, is at least least."""
-    a, b = (points.select(F.col("cls").alias(x), F.col("v").alias(f"v{x}"), F.col("norm").alias(f"n{x}")) for x in "ab")
-    dot = F.expr("aggregate(zip_with(va, vb, (x, y) -> x * y), 0D, (s, x) -> s + x)")
-    return pairs.join(a, "a").join(b, "b").where(dot / (F.col("na") * F.col("nb")) >= least).select("a", "b")
 
+def build(x: np.ndarray, *, shard: int = 256, overlap: int = 2, pool: int = 48, degree: int = 16, slack: float = 1.2) -> tuple[np.ndarray, np.ndarray, int]:
+    """The flat graph of unit vectors, as (starts, neighbours) with edges both ways, and its medoid.
 
-def audit(points: DataFrame, links: DataFrame, least: float, *, every: int = 100, block: int = 2000) -> tuple[int, int]:
-    """(pairs that brute force finds, of them in links): all classes whose id is divisible by every, in blocks of about block by hash, each against all rows.
+    Every vector is in its overlap nearest of about n / shard clusters; each cluster is pruned on its own, and the adjacency lists are
+    united. Clusters over four shards are cut at random, as near copies that no centre parts can fill one. Parts that are left unconnected
+    are joined at their medoids, each to the nearest of an earlier part.
+    """
+    n = len(x)
+    c = kmeans(x[np.random.default_rng(7).permutation(n)[: 64 * (n // shard + 1)]], n // shard + 1)
+    near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, : min(overlap, len(c))]
+    edges = [np.empty((0, 2), np.int64)]
+    for j in range(len(c)):
+        own = np.flatnonzero((near == j).any(1))
+        own = np.random.default_rng(j).permutation(own) if len(own) > 4 * shard else own
+        cuts = np.array_split(own, -(-len(own) // (2 * shard))) if len(own) > 4 * shard else [own]
+        for part in cuts:
+            if len(part) > 1:
+                edges.append(part[pruned(x[part], pool=pool, degree=degree, slack=slack)])
+        for a, b in zip(cuts, cuts[1:], strict=False):  # the parts of a cut cluster hang together
+            edges.append(np.column_stack([a[: len(b)], b[: len(a)]]))
+    e = np.concatenate(edges)
+    parts = components_of(n, e)
+    medoid = int((x @ x.mean(0)).argmax())
+    names, at = np.unique(parts, return_inverse=True)
+    if len(names) > 1:
+        sums = np.zeros((len(names), x.shape[1]))
+        np.add.at(sums, at, x)
+        closeness = (x * sums[at]).sum(1)
+        order = np.lexsort((-closeness, at))
+        heads = order[np.searchsorted(at[order], np.arange(len(names)))]
+        sims = np.tril(x[heads] @ x[heads].T, -1) - np.triu(np.full((len(heads),) * 2, 4.0))
+        e = np.concatenate([e, np.column_stack([heads[1:], heads[sims[1:].argmax(1)]])])
+    key = np.unique(np.concatenate([e[:, 0] * n + e[:, 1], e[:, 1] * n + e[:, 0]]))
+    a, b = key // n, key % n
+    return np.searchsorted(a, np.arange(n + 1)), b, medoid
+
+
+def components_of(n: int, edges: np.ndarray) -> np.ndarray:
+    """By node the smallest node that undirected edges reach."""
+    root = np.arange(n)
+    if not len(edges):
+        return root
+    a, b = edges.T
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _spread(starts: np.ndarray, to: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in nodes, neighbour) of every edge that leaves one of nodes."""
+    n = starts[nodes + 1] - starts[nodes]
+    at = np.repeat(np.arange(len(nodes)), n)
+    return at, to[np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[nodes], n)]
+
+
+def search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray, int], queries: np.ndarray, least: float, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in queries, node, cosine) of the nodes with a cosine of least to each query node, itself left out.
+
+    All queries walk at once. Each goes greedily from the medoid to ever nearer neighbours; from where it ends, and from the query, the range
+    is expanded: every neighbour of a node whose cosine is at least least - margin is looked at, once.
+    """
+    starts, to, medoid = graph
+    at = np.full(len(queries), medoid)
+    best, moving = (x[at] * x[queries]).sum(1), np.arange(len(queries))
+    while len(moving):
+        of, node = _spread(starts, to, at[moving])
+        value = np.einsum("ij,ij->i", x[node], x[queries[moving[of]]])
+        top = np.full(len(moving), -2.0)
+        np.maximum.at(top, of, value)
+        hit = value == top[of]
+        at_new = at[moving].copy()
+        at_new[of[hit]] = node[hit]
+        better = top > best[moving]
+        at[moving[better]], best[moving[better]] = at_new[better], top[better]
+        moving = moving[better]
+    seen = np.zeros((len(queries), len(x)), bool)
+    rows = np.arange(len(queries))
+    seen[rows, queries] = True
+    found = [(rows, queries, np.ones(len(queries)))]
+    reach = (best >= least - margin) & (at != queries)
+    seen[rows[reach], at[reach]] = True
+    found.append((rows[reach], at[reach], best[reach]))
+    q, node = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    while len(q):
+        of, new = _spread(starts, to, node)
+        fresh = np.zeros_like(seen)
+        fresh[q[of], new] = True
+        fresh &= ~seen
+        seen |= fresh
+        q, node = np.nonzero(fresh)
+        value = np.einsum("ij,ij->i", x[node], x[queries[q]])
+        keep = value >= least - margin
+        q, node, value = q[keep], node[keep], value[keep]
+        found.append((q, node, value))
+    q, node, value = (np.concatenate(f) for f in zip(*found, strict=True))
+    keep = (value >= least) & (node != queries[q])
+    return q[keep], node[keep], value[keep]
+
+
+def brute(x: np.ndarray, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What search() looks for, by comparing with all."""
+    near = x[queries] @ x.T
+    near[np.arange(len(queries)), queries] = -2
+    q, node = np.nonzero(near >= least)
+    return q, node, near[q, node]
+
+
+def verified(v: np.ndarray, a: np.ndarray, b: np.ndarray, value: np.ndarray, least: float) -> np.ndarray:
+    """Whether each found pair has a cosine of least: where the unit vectors' product is within 1e-9, the cosine of the vectors themselves decides."""
+    ok, close = value >= least, np.flatnonzero(np.abs(value - least) < 1e-9)
+    if len(close):
+        p, q = v[a[close]], v[b[close]]
+        ok[close] = (p * q).sum(1) / (np.sqrt((p * p).sum(1)) * np.sqrt((q * q).sum(1))) >= least
+    return ok
+
+
+CENTRES = "cell long, centres array<array<double>>"
+PLACED = "cls long, v array<double>, copies long, cell long, home boolean"
+#: Bytes of centres that are sent out at once; with more, the rows are placed in several passes.
+SENT = 64 << 20
+
+
+def place(points: DataFrame, *, limit: int, overlap: int, margin: float, branch: int = 32, sample: int = 128) -> tuple[DataFrame, DataFrame | None]:
+    """(rows in shards of at most limit, rows of shards that centres cannot part), each (cls, v, copies, cell, home).
+
+    All vectors of a label start in one shard. Shards over limit are split level by level, by k-means on a sample by hash of about sample rows a
+    centre, which is taken in the shard's own task; the number of shards follows the data. A vector's home is its nearest centre. It is a guest at the
+    next ones too, overlap shards in all, where it lies within margin, the sine of an angle, of the plane between the two centres.
+    """
+    spark = points.sparkSession
+    whole = points.select("cls", "v", "copies", F.xxhash64("label", F.size("v")).alias("cell"), F.lit(True).alias("home"))
+    done, dense, left, before = [], [], stored(whole, "placed"), None
+    while True:
+        sizes = left.groupBy("cell").agg(F.count("*").alias("n"))
+        if before is not None:  # children as large as their parent: near copies that no centre parts
+            sizes = sizes.join(before, "cell", "left")
+        else:
+            sizes = sizes.withColumn("parent", F.lit(None).cast("long"))
+        sizes = stored(sizes.withColumn("kind", F.expr(f"case when n <= {limit} then 'done' when n > 0.7 * parent then 'dense' else 'open' end")), "shards")
+        kinds = {r.kind: r["count"] for r in sizes.groupBy("kind").count().collect()}
+        marked = left.join(sizes.select("cell", "n", "kind"), "cell")
+        done.append(marked.where("kind = 'done'").drop("n", "kind"))
+        if "dense" in kinds:
+            dense.append(marked.where("kind = 'dense'").drop("n", "kind"))
+        if "open" not in kinds:
+            break
+        chosen = marked.where("kind = 'open'").withColumn("k", F.least(F.lit(branch), F.ceil(2 * F.col("n") / limit)).cast("int"))
+        chosen = chosen.where(F.expr(f"pmod(xxhash64(cls, 6), 1000000) < 1000000D * {sample} * k / n"))
+
+        def centres(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "centres": [list(kmeans(_unit(pdf["v"]), int(pdf["k"].iloc[0])))]})
+
+        table = stored(chosen.groupBy("cell").applyInPandas(centres, CENTRES), "centres")
+        size = table.agg(F.sum(F.size("centres") * F.size(F.col("centres")[0]) * 8)).first()[0] or 0
+        passes = max(1, -(-size // SENT))
+        parts = []
+        for i in range(passes):
+            own = spark.sparkContext.broadcast({r.cell: np.array(r.centres) for r in table.where(f"pmod(xxhash64(cell), {passes}) = {i}").collect()})
+
+            def deal(batches, own=own):
+                for pdf in batches:
+                    out = []
+                    for cell, g in pdf.groupby("cell"):
+                        x, c = _unit(g["v"]), own.value.get(cell)
+                        if c is None:  # no row of the sample: the shard stays one, and counts as dense
+                            c = x[:1]
+                        near = x @ c.T
+                        order = np.argsort(-near, axis=1, kind="stable")[:, : min(overlap, len(c))]
+                        best = np.take_along_axis(near, order, 1)
+                        apart = np.linalg.norm(c[order[:, :1]] - c[order], axis=2)
+                        row, j = np.nonzero((best[:, :1] - best <= margin * apart) | (np.arange(order.shape[1]) == 0))
+                        part = g.iloc[row]
+                        out.append(part.assign(child=order[row, j], home=part["home"].to_numpy() & (j == 0)))
+                    yield pd.concat(out)[["cls", "v", "copies", "cell", "home", "child"]] if out else pd.DataFrame(columns=["cls", "v", "copies", "cell", "home", "child"])
+
+            rows = marked.where(f"kind = 'open' and pmod(xxhash64(cell), {passes}) = {i}").select("cls", "v", "copies", "cell", "home")
+            parts.append(rows.mapInPandas(deal, PLACED + ", child int"))
+        placed = parts[0]
+        for p in parts[1:]:
+            placed = placed.unionByName(p)
+        placed = stored(placed.withColumn("parent_cell", F.col("cell")).withColumn("cell", F.xxhash64("cell", "child")), "placed")
+        before = placed.select("cell", "parent_cell").distinct().join(sizes.select(F.col("cell").alias("parent_cell"), F.col("n").alias("parent")), "parent_cell").select("cell", "parent")
+        left = placed.select("cls", "v", "copies", "cell", "home")
+    every = lambda xs: xs[0] if len(xs) == 1 else every([xs[0].unionByName(xs[1]), *xs[2:]])
+    return every(done), every(dense) if dense else None
+
+
+FOUND = "cls long, home boolean, n long, more long, rep long"
+
+
+def link(points: DataFrame, *, least: float = 0.93, limit: int = 2048, overlap: int = 4, margin: float = 0.37, slack: float = 0.06, graph: bool = True, block: int = 256) -> DataFrame:
+    """(cls, home, n, more, rep) of every class in every shard that it is in: the classes that link with it there and their copies, counted where it is at
+    home, and the smallest class that links of the shard reach.
+
+    Every pair is so counted for either class in its own home alone, and no pair leaves a task. Shards that centres cannot part are dealt over
+    cells by hash, and every two cells meet in one task. graph=False compares all pairs of a label instead, by the same cells.
+    """
+    if graph:
+        done, dense = place(points, limit=limit, overlap=overlap, margin=margin)
+    else:
+        done, dense = None, points.select("cls", "v", "copies", F.xxhash64("label", F.size("v")).alias("cell"), F.lit(True).alias("home"))
+    zero = F.lit(0)
+    groups = [] if done is None else [done.withColumns({"side": zero, "x": zero, "y": zero})]
+    if dense is not None:
+        m = dense.groupBy("cell").agg(F.ceil(2 * F.count("*") / limit).cast("int").alias("m"))
+        cells = dense.join(m, "cell").withColumn("side", F.expr("cast(pmod(xxhash64(cls, 7), m) as int)"))
+        cells = cells.withColumn("other", F.explode(F.expr("sequence(0, m - 1)"))).withColumn("x", F.least("side", "other")).withColumn("y", F.greatest("side", "other"))
+        groups.append(cells.select("cls", "v", "copies", "cell", "home", "side", "x", "y"))
 
-    Adds a row (pairs, found) to the table recall in the shared folder and logs it.
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cls")
+        v = np.stack([np.asarray(y, np.float64) for y in pdf["v"]])
+        x, cls, copies, home, side = _unit(v), pdf["cls"].to_numpy(), pdf["copies"].to_numpy(), pdf["home"].to_numpy(), pdf["side"].to_numpy()
+        one = bool((pdf["x"] == pdf["y"]).iloc[0])
+        n, more, own, edges = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64), np.flatnonzero(home), [np.empty((0, 2), np.int64)]
+        flat = build(x) if graph and len(own) else None
+        for i in range(0, len(own), block):
+            part = own[i : i + block]
+            q, node, value = search(x, flat, part, least - 1e-9, slack) if graph else brute(x, part, least - 1e-9)
+            ok = verified(v, part[q], node, value, least) & (one | (side[part[q]] != side[node]))
+            q, node = part[q[ok]], node[ok]
+            n += np.bincount(q, minlength=len(x))
+            more += np.bincount(q, copies[node], len(x)).astype(np.int64)
+            edges.append(np.column_stack([q, node]))
+        rep = components_of(len(x), np.concatenate(edges))
+        keep = home | (rep != np.arange(len(x)))
+        return pd.DataFrame({"cls": cls, "home": home, "n": n, "more": more, "rep": cls[rep]})[keep]
+
+    every = groups[0] if len(groups) == 1 else groups[0].unionByName(groups[1].select(groups[0].columns))
+    return every.groupBy("cell", "x", "y").applyInPandas(near, FOUND)
+
+
+def audit(points: DataFrame, counts: DataFrame, least: float, *, every: int = 100, block: int = 2000) -> tuple[int, int]:
+    """(links that brute force finds, of them those in counts (cls, n)): of all classes whose id is divisible by every, in blocks of about block by hash,
+    each against all rows. No link below least is ever counted, so the counts compare.
+
+    Adds a row (links, found) to the table recall in the shared folder and logs it.
     """
     chosen = points.where(F.expr(f"pmod(cls, {every}) = 0")).select("cls", "label", "v")
     blocks = -(-chosen.count() // block)
     total, hit = 0, 0
     for i in range(blocks):
-        pairs = stored(_brute(points, chosen.where(F.expr(f"pmod(xxhash64(cls, 6), {blocks}) = {i}")).collect(), least, every), "audit")
-        total, hit = total + pairs.count(), hit + pairs.join(links, ["a", "b"], "left_semi").count()
-    stored(points.sparkSession.createDataFrame([(total, hit)], "pairs long, found long"), "recall")
+        rows = chosen.where(F.expr(f"pmod(xxhash64(cls, 6), {blocks}) = {i}")).collect()
+        sent = points.sparkSession.sparkContext.broadcast([(r.cls, r.label, r.v) for r in rows])
+
+        def compare(batches, sent=sent):
+            by: dict = {}
+            for cls, label, v in sent.value:
+                by.setdefault((label, len(v)), []).append((cls, v))
+            blocks = {k: (np.array([c for c, _ in own]), np.array([v for _, v in own]), _unit([v for _, v in own]), np.zeros(len(own), np.int64)) for k, own in by.items()}
+            for pdf in batches:
+                for (label, size), own in pdf.groupby([pdf["label"], pdf["v"].map(len)]):
+                    if (label, size) in blocks:
+                        ids, w, x, n = blocks[label, size]
+                        v, other = np.stack([np.asarray(y, np.float64) for y in own["v"]]), own["cls"].to_numpy()
+                        near = _unit(own["v"]) @ x.T
+                        a, b = np.nonzero(near >= least - 1e-9)
+                        both = np.concatenate([v, w])
+                        ok = verified(both, a, len(v) + b, near[a, b], least) & (other[a] != ids[b])
+                        n += np.bincount(b[ok], minlength=len(n))
+            out = [(int(c), int(k)) for ids, _, _, n in blocks.values() for c, k in zip(ids, n, strict=True) if k]
+            yield pd.DataFrame(out, columns=["cls", "truth"])
+
+        truth = points.select("cls", "label", "v").mapInPandas(compare, "cls long, truth long").groupBy("cls").agg(F.sum("truth").alias("truth"))
+        own = truth.join(counts, "cls", "left").agg(F.sum("truth"), F.sum(F.coalesce("n", F.lit(0)))).first()
+        total, hit = total + (own[0] or 0), hit + (own[1] or 0)
+    stored(points.sparkSession.createDataFrame([(total, hit)], "links long, found long"), "recall")
     log.warning("op6_embedding_dedup: recall %d of %d links of audited classes", hit, total)
     return total, hit
 
 
-def _brute(points: DataFrame, chosen: list, least: float, every: int) -> DataFrame:
-    """(a, b): the pairs of the chosen rows with all rows. A pair of two audited classes is counted in the block of the smaller one."""
-    sent = points.sparkSession.sparkContext.broadcast([(r.cls, r.label, r.v) for r in chosen])
-
-    def brute(batches):
-        by: dict = {}
-        for cls, label, v in sent.value:
-            by.setdefault((label, len(v)), []).append((cls, v))
-        blocks = {k: (np.array([c for c, _ in own]), _unit([v for _, v in own])) for k, own in by.items()}
-        for pdf in batches:
-            out = []
-            for (label, size), own in pdf.groupby([pdf["label"], pdf["v"].map(len)]):
-                if (label, size) in blocks:
-                    ids, x = blocks[label, size]
-                    other = own["cls"].to_numpy()
-                    for i, j in zip(*np.nonzero(_unit(own["v"]) @ x.T >= least), strict=True):
-                        if ids[j] < other[i] or ids[j] > other[i] and other[i] % every:
-                            out.append((min(other[i], ids[j]), max(other[i], ids[j])))
-            yield pd.DataFrame(out, columns=["a", "b"])
-
-    found = points.select("cls", "label", "v").mapInPandas(brute, "a long, b long").distinct()
-    return verified(found, points, least)
+def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, overlap: int = 4, slack: float = 0.06, **options) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding, label); other columns are left out.
 
-
-def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, overlap: int = 3, width: int = 48, **options) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding, label).
-
-    Linked are vectors of equal label with a cosine of least. Vectors that are null, zero or hold null or non-finite components, and
+    Linked are vectors of equal label with a cosine of least. Vectors that are null, empty, zero or hold null or non-finite components, and
     rows with a null label, link with nothing. Equal vectors of a label are one class, searched once; its members link with each other and with
-    all members of linked classes. If the audit finds less than recall, the search is repeated with more overlap and a wider beam, twice at most; then all pairs of a label are compared.
+    all members of linked classes. Rows that repeat a vec_id are rows of their own, each returned; an empty table gives none. If the audit finds less
+    than recall, the search is repeated with twice the overlap and a wider range; if that is short too, all pairs of a label are compared.
     """
-    good = usable(vectors.select("vec_id", "embedding", F.col("label").cast("int").alias("label")))
-    named = stored(good.withColumn("key", F.xxhash64("label", "v")), "vectors")
-    classes = named.groupBy("label", "v").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies"))
-    points = stored(classes.withColumn("norm", F.expr("sqrt(aggregate(v, 0D, (s, x) -> s + x * x))")), "points")
+    named = stored(vectors_of(vectors.select("vec_id", "embedding", "label")), "vectors")
+    good = named.where("v is not null")
+    points = good.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    twice = points.where("least is not null").groupBy("least").count().where("count > 1").select("least", F.lit(True).alias("twice"))
+    # a class is named by its smallest vec_id, unless that is null or names another class too, as repeated vec_ids can
+    own = F.expr("case when least is not null and twice is null then least else -1 - pmod(xxhash64(label, v), 9223372036854775807) end")
+    points = stored(points.join(twice, "least", "left").withColumn("cls", own).drop("twice"), "points")
     for turn in range(3):
-        links = stored(verified(link(points, least=least, overlap=overlap << turn, width=width << turn, **options), points, least), "links")
-        total, found = audit(points, links, least)
-        if found >= recall * total:
+        found = stored(link(points, least=least, overlap=overlap << turn, slack=slack * (1 + turn), graph=turn < 2, **options), "links")
+        counts = found.where("home").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("more").alias("more"))
+        total, hit = audit(points, counts.select("cls", "n"), least)
+        if hit >= recall * total:
             break
-    else:
-        links = stored(verified(exact(points, least=least), points, least), "links")
-    both = links.union(links.select("b", "a")).toDF("cls", "other")
-    more = both.join(points.select(F.col("cls").alias("other"), "copies"), "other").groupBy("cls").agg(F.sum("copies").alias("more"))
-    comp = components(links, "a", "b").withColumnRenamed("node", "cls")
-    of = points.join(more, "cls", "left").join(comp, "cls", "left")
-    of = of.select("label", "v", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "cls").alias("component_id"))
-    rows = named.join(of, ["label", "v"]).select("vec_id", "n_links", "component_id")
-    rest = vectors.select("vec_id").subtract(named.select("vec_id")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    comp = components(found.where("cls <> rep"), "cls", "rep").withColumnRenamed("node", "cls")
+    of = points.join(counts, "cls", "left").join(comp, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    least_of = of.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = of.join(least_of, "component").select("label", "v", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id")
+    rows = good.join(of, ["label", "v"]).select("vec_id", "n_links", "component_id")
+    rest = named.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return rows.unionByName(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 

@@ -247,44 +247,59 @@ def test_neighbours_against_brute_force(spark):
         if (new == comp).all():
             break
         comp = new
-    got = {r.vec_id: r for r in neighbours.dedup(df, shard=60).collect()}
-    assert len(got) == len(rows)
-    missed = sum(abs(got[i].n_links - int(link[i].sum())) for i in range(n))
-    assert missed <= 0.02 * link.sum() and np.mean([got[i].component_id == comp[i] for i in range(n)]) > 0.97
-    assert all(got[i].n_links == 0 and got[i].kept for i in range(n, len(rows)))
+    for limit in (60, 2048):  # shards split by centres; one shard a label
+        got = {r.vec_id: r for r in neighbours.dedup(df, limit=limit).collect()}
+        assert len(got) == len(rows)
+        missed = sum(abs(got[i].n_links - int(link[i].sum())) for i in range(n))
+        assert missed <= 0.02 * link.sum() and np.mean([got[i].component_id == comp[i] for i in range(n)]) > 0.97
+        assert all(got[i].n_links == 0 and got[i].kept for i in range(n, len(rows)))
     assert neighbours.dedup(df.limit(0)).count() == 0
 
 
+def test_neighbours_return_every_row(spark):
+    x, y = [1.0, 0.0], [1.0, 0.1]
+    rows = [(1, None, 0, "a"), (1, None, 0, "a"), (2, x, 0, "b"), (2, None, 0, "c"), (None, y, 0, "d"), (3, x, 1, "e"), (3, y, 0, "f"), (4, [1.0, None], 0, "g"), (-5, x, 0, "h")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, n_links string")
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in neighbours.dedup(df).collect()), key=str)
+    assert got == sorted([(1, 0, 1), (1, 0, 1), (2, 3, -5), (2, 0, 2), (None, 3, -5), (3, 0, 3), (3, 3, -5), (4, 0, 4), (-5, 3, -5)], key=str)
+
+
 def test_neighbours_reach_every_group():
     rng = np.random.default_rng(8)
-    for groups, size in ((10, 120), (20, 60)):
+    for groups, size in ((10, 120), (20, 60), (1, 1300), (700, 1)):
         x = np.repeat(rng.normal(size=(groups, 64)), size, 0) + rng.normal(size=(groups * size, 64)) * 0.15
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         near = x @ x.T >= 0.93
-        graph = neighbours.build(x)
-        reach, more = {0}, [0]
-        while more:
-            more = [j for i in more for j in graph[i] if j not in reach and not reach.add(j)]
-        assert len(reach) == len(x)
-        medoid = int((x @ x.mean(0)).argmax())
-        found = [neighbours.search(x, graph, q, medoid, 0.93, 48) for q in range(len(x))]
-        assert near.sum() > len(x) * size * 0.9 and sum(map(len, found)) >= 0.99 * (near.sum() - len(x))
-        assert {(q, j) for q, own in neighbours.ranges(x, 0.93, 1) for j in own} == {(i, j) for i, j in zip(*np.nonzero(near), strict=True) if i != j}
-
-
-def test_neighbours_are_exact_where_the_audit_falls_short(spark, monkeypatch):
+        starts, to, medoid = neighbours.build(x)
+        edges = np.column_stack([np.repeat(np.arange(len(x)), np.diff(starts)), to])
+        assert not neighbours.components_of(len(x), edges).any() and len(edges) < 60 * len(x)
+        q, node, value = neighbours.search(x, (starts, to, medoid), np.arange(len(x)), 0.93, 0.06)
+        assert (value >= 0.93).all() and (q != node).all() and len(q) == len(set(zip(q.tolist(), node.tolist(), strict=True)))
+        assert near[q, node].all() and len(q) >= 0.99 * (near.sum() - len(x))
+
+
+def test_near_copies_that_no_centre_parts(spark):
+    rng = np.random.default_rng(12)
+    x = np.concatenate([np.repeat(rng.normal(size=(1, 16)), 400, 0) + rng.normal(size=(400, 16)) * 0.05, rng.normal(size=(100, 16))])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    n = (x @ x.T >= 0.93).sum(1) - 1
+    got = {r.vec_id: r for r in neighbours.dedup(df, limit=64).collect()}
+    assert abs(sum(got[i].n_links for i in range(500)) - n.sum()) <= 0.02 * n.sum() and all(got[i].component_id == 0 for i in range(400))
+
+
+def test_neighbours_are_exact_where_the_audit_falls_short(spark):
     rng = np.random.default_rng(9)
     x = np.repeat(rng.normal(size=(4, 16)), 30, 0) + rng.normal(size=(120, 16)) * 0.05
     df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
-    monkeypatch.setattr(neighbours, "link", lambda points, **_: points.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0))
-    assert all(r.n_links == 29 and r.component_id == r.vec_id // 30 * 30 for r in neighbours.dedup(df).collect())
+    assert all(r.n_links == 29 and r.component_id == r.vec_id // 30 * 30 for r in neighbours.dedup(df, slack=-1.0).collect())  # a search that finds nothing
 
 
 def test_audit_takes_every_hundredth_class(spark):
-    points = spark.createDataFrame([(i, 0, [1.0, 0.0], 1.0) for i in range(0, 1000, 20)], "cls long, label int, v array<double>, norm double")
-    links = points.select(F.col("cls").alias("a")).crossJoin(points.select(F.col("cls").alias("b"))).where("a < b")
-    assert neighbours.audit(points, links, 0.93, block=3) == (10 * 49 - 45,) * 2
-    assert neighbours.audit(points, links.where("a <> 0"), 0.93, block=3) == (10 * 49 - 45, 10 * 49 - 45 - 49)
+    points = spark.createDataFrame([(i, 0, [1.0, 0.0]) for i in range(0, 1000, 20)], "cls long, label int, v array<double>")
+    counts = points.select("cls", F.lit(49).alias("n"))
+    assert neighbours.audit(points, counts, 0.93, block=3) == (490, 490)
+    assert neighbours.audit(points, counts.where("cls <> 0"), 0.93, block=3) == (490, 441)
 
 
 def test_language(spark, docs, empty):
