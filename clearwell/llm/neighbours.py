@@ -222,7 +222,7 @@ def place(points: DataFrame, *, limit: int, overlap: int, margin: float, branch:
             dense.append(marked.where("kind = 'dense'").drop("n", "kind"))
         if "open" not in kinds:
             break
-        chosen = marked.where("kind = 'open'").withColumn("k", F.least(F.lit(branch), F.ceil(2 * F.col("n") / limit)).cast("int"))
+        chosen = marked.where("kind = 'open'").withColumn("k", F.least(F.lit(branch), F.greatest(F.lit(8), F.ceil(4 * F.col("n") / limit))).cast("int"))
         chosen = chosen.where(F.expr(f"pmod(xxhash64(cls, 6), 1000000) < 1000000D * {sample} * k / n"))
 
         def centres(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -266,7 +266,7 @@ def place(points: DataFrame, *, limit: int, overlap: int, margin: float, branch:
 FOUND = "cls long, home boolean, n long, more long, rep long"
 
 
-def link(points: DataFrame, *, least: float = 0.93, limit: int = 2048, overlap: int = 4, margin: float = 0.37, slack: float = 0.06, graph: bool = True, block: int = 256) -> DataFrame:
+def link(points: DataFrame, *, least: float = 0.93, limit: int = 2048, overlap: int = 2, margin: float = 0.06, slack: float = 0.06, graph: bool = True, block: int = 256) -> DataFrame:
     """(cls, home, n, more, rep) of every class in every shard that it is in: the classes that link with it there and their copies, counted where it is at
     home, and the smallest class that links of the shard reach.
 
@@ -347,13 +347,13 @@ def audit(points: DataFrame, counts: DataFrame, least: float, *, every: int = 10
     return total, hit
 
 
-def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, overlap: int = 4, slack: float = 0.06, **options) -> DataFrame:
+def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, overlap: int = 2, margin: float = 0.06, slack: float = 0.06, **options) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding, label); other columns are left out.
 
     Linked are vectors of equal label with a cosine of least. Vectors that are null, empty, zero or hold null or non-finite components, and
     rows with a null label, link with nothing. Equal vectors of a label are one class, searched once; its members link with each other and with
     all members of linked classes. Rows that repeat a vec_id are rows of their own, each returned; an empty table gives none. If the audit finds less
-    than recall, the search is repeated with twice the overlap and a wider range; if that is short too, all pairs of a label are compared.
+    than recall, the search is repeated with twice the overlap, five times the margin and a wider range; if that is short too, all pairs of a label are compared.
     """
     named = stored(vectors_of(vectors.select("vec_id", "embedding", "label")), "vectors")
     good = named.where("v is not null")
@@ -363,7 +363,7 @@ def dedup(vectors: DataFrame, *, least: float = 0.93, recall: float = 0.97, over
     own = F.expr("case when least is not null and twice is null then least else -1 - pmod(xxhash64(label, v), 9223372036854775807) end")
     points = stored(points.join(twice, "least", "left").withColumn("cls", own).drop("twice"), "points")
     for turn in range(3):
-        found = stored(link(points, least=least, overlap=overlap << turn, slack=slack * (1 + turn), graph=turn < 2, **options), "links")
+        found = stored(link(points, least=least, overlap=overlap << turn, margin=margin * (1 + 4 * turn), slack=slack * (1 + turn), graph=turn < 2, **options), "links")
         counts = found.where("home").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("more").alias("more"))
         total, hit = audit(points, counts.select("cls", "n"), least)
         if hit >= recall * total:
