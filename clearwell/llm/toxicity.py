@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import documents, held, some
+from clearwell.llm.common import documents, held, some, stored
 
 #: Character classes of the kernel: 0 none, 1 the start of a word, 2 to 27 the letters a to z, the others by code point.
 CLASSES = 48
@@ -65,9 +65,9 @@ def normed(own: list[list[int]], decay: float, span: int) -> tuple[np.ndarray, n
     return word, triple, weight / norm[word]
 
 
-def words_of(text: str) -> list[str]:
-    """The blank-separated words of the whole text; spaced-out letters are joined; runs of over 60 characters are cut with an overlap."""
-    if SPACED.search(text):
+def words_of(text: str, joined: bool = False) -> list[str]:
+    """The blank-separated words of the whole text; spaced-out letters are joined, unless they are already; runs of over 60 characters are cut with an overlap."""
+    if not joined and SPACED.search(text):
         text = SPACED.sub(lambda m: re.sub(r"[ .\-_*]+", "", m[0]), text)
     out = text.lower().split()
     if any(len(x) > 60 for x in out):
@@ -76,7 +76,7 @@ def words_of(text: str) -> list[str]:
 
 
 class Kernel:
-    """Kernel values of words with the landmarks; a word that none reaches floor counts as nothing. most: words kept at most."""
+    """Kernel values of words with the landmarks. heard: those of words that reach floor with one; the others known count as nothing. most: words kept at most."""
 
     def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.2, most: int = 600_000):
         self.landmarks, self.decay, self.span, self.floor, self.most = landmarks, decay, span, floor, most
@@ -84,7 +84,8 @@ class Kernel:
         self.table = np.zeros((CLASSES**3, len(landmarks)), np.float32)
         self.table[self.parts[1], self.parts[0]] = self.parts[2]
         self.peak = self.table.max(1)
-        self.known: dict[str, np.ndarray | None] = {}
+        self.known: set[str] = set()
+        self.heard: dict[str, np.ndarray] = {}
 
     def between(self) -> np.ndarray:
         word, triple, weight = self.parts
@@ -104,7 +105,7 @@ class Kernel:
 
     def learn(self, words: list[str]) -> None:
         """Most words are passed over by a bound: their triples' greatest weights in any landmark, over the least norm that they can have."""
-        self.known.update(dict.fromkeys(words))
+        self.known.update(words)
         coded = sorted(((c, w) for w in words if len(c := codes(w)) > 3), key=lambda x: len(x[0]))
         for i in range(0, len(coded), 4000):
             part = coded[i : i + 4000]
@@ -114,15 +115,27 @@ class Kernel:
             if part:
                 for (_, w), k in zip(part, self.values([c for c, _ in part]), strict=True):
                     if k.max() >= self.floor:
-                        self.known[w] = k
+                        self.heard[w] = k
 
-    def best(self, words: list[str]) -> np.ndarray:
-        """By landmark the greatest kernel value of the words of a sentence."""
-        missing = [x for x in dict.fromkeys(words) if x not in self.known]
+    def learn_new(self, words) -> None:
+        missing = sorted(set(words).difference(self.known))
         for i in range(0, len(missing), 20_000):
             self.learn(missing[i : i + 20_000])
-        rows = [v for x in words if (v := self.known.get(x)) is not None]
-        return np.max(rows, axis=0) if rows else np.zeros(len(self.landmarks), np.float32)
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.heard.clear()
+
+
+def sentences(text: str) -> list[list[str]]:
+    """The words of each sentence of the whole text; a sentence of over 40 words counts as several."""
+    if SPACED.search(text):
+        text = SPACED.sub(lambda m: re.sub(r"[ .\-_*]+", "", m[0]), text)
+    out = []
+    for part in SENTENCE.split(text):
+        words = words_of(part, joined=True)
+        out += [words[i : i + 40] for i in range(0, len(words), 40)]
+    return out
 
 
 def strings(text: str) -> set[str]:
@@ -140,21 +153,13 @@ def _logistic(x: np.ndarray, labels: np.ndarray, weight: np.ndarray, rounds: int
     return w, b, middle, spread
 
 
-def fit(rows: list[tuple[str, int]], *, landmarks: int = 48, least: float = 25.0, ratio: float = 4.0, alike: float = 0.8, rounds: int = 1200, penalty: float = 1e-3) -> dict:
-    """Learns from (text, toxic).
-
-    Landmarks: the words and word beginnings that most favour toxic documents by log-likelihood ratio (at least least: under one in a
-    million by chance), ratio times as frequent there, and not alike to an earlier one. A sentence counts as its
-    most toxic word. So the words of toxic documents' sentences that are or begin with a landmark are examples of 1, all words near a landmark in
-    the sentences of other documents, as often as they come, examples of 0. The machine is linear on the Nyström features, K^(-1/2) times the kernel values with the landmarks, trained by hinge-loss subgradients. A logistic curve
-    over the greatest margin of a document's sentences and over the numbers and shares of words with a high one gives probabilities.
-    """
+def landmarks_of(rows: list[tuple[str, int]], *, landmarks: int, least: float, ratio: float, alike: float) -> list[str]:
+    """The strings that most favour toxic documents by log-likelihood ratio (at least least: under one in a million by chance), ratio times as frequent
+    there, and not alike to an earlier one."""
     seen, n = (Counter(), Counter()), [0, 0]
     for text, toxic in rows:
         seen[toxic].update(strings(text))
         n[toxic] += 1
-    if not all(n):
-        return {"landmarks": [], "rate": n[1] / max(1, sum(n))}
 
     def gain(w: str) -> float:
         """The log-likelihood ratio against no tie to the label; 0 where it doesn't favour toxic documents ratio times."""
@@ -166,34 +171,67 @@ def fit(rows: list[tuple[str, int]], *, landmarks: int = 48, least: float = 25.0
     chosen: list[str] = []
     ranked = sorted(found, key=lambda w: (-found[w], -len(w), w))[: 20 * landmarks]
     if ranked:
-        near = Kernel(ranked).between()
-        for i in range(len(ranked)):
-            if len(chosen) < landmarks and all(near[i, ranked.index(w)] < alike for w in chosen):
-                chosen.append(ranked[i])
-    if not chosen:
-        return {"landmarks": [], "rate": n[1] / sum(n)}
-    kernel, begins = Kernel(chosen), tuple(chosen)
-    values, vectors = np.linalg.eigh(kernel.between() + 1e-3 * np.eye(len(chosen)))
-    root = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
-    instances: tuple[Counter, Counter] = (Counter(), Counter())
-    for text, toxic in rows:
-        words = words_of(text)
-        kernel.best(words)
-        instances[toxic].update(w for w in words if kernel.known.get(w) is not None and (not toxic or letters(w).startswith(begins)))
-    if not instances[1]:
-        return {"landmarks": [], "rate": n[1] / sum(n)}
-    examples = [(kernel.best([w]), k, 2 * side - 1) for side in (0, 1) for w, k in instances[side].items()]
-    examples.append((np.zeros(len(chosen)), 1 + sum(instances[0].values()), -1))
-    x, weight, y = (np.array(v, float) for v in zip(*examples, strict=True))
-    x = x @ root
-    weight = np.where(y > 0, 0.4 * weight / weight[y > 0].sum(), 0.6 * weight / weight[y < 0].sum())
+        near, at = Kernel(ranked).between(), {w: i for i, w in enumerate(ranked)}
+        for i, w in enumerate(ranked):
+            if len(chosen) < landmarks and all(near[i, at[c]] < alike for c in chosen):
+                chosen.append(w)
+    return chosen
+
+
+def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int, penalty: float) -> tuple[np.ndarray, float]:
     w, b = np.zeros(x.shape[1]), 0.0
     for t in range(rounds):
         late = weight * (y * (x @ w + b) < 1) * y
         step = 1 / (penalty * (t + 1000))
         w, b = (1 - step * penalty) * w + step * (late @ x), b + step * late.sum() * 0.1
+    return w, b
+
+
+def fit(rows: list[tuple[str, int]], *, landmarks: int = 48, least: float = 25.0, ratio: float = 4.0, alike: float = 0.8, rounds: int = 1200, loud: float = 0.75, penalty: float = 1e-3) -> dict:
+    """Learns from (text, toxic).
+
+    The examples are sentences. The machine is linear on the Nyström features of a word, K^(-1/2) times its kernel values with the landmarks, and
+    trained by hinge-loss subgradients; a sentence has the margin of its most toxic word. So every word of a clean document's sentences is an
+    example of 0, as often as it comes. Which sentences of a toxic document make it so, and by which word, is not labelled: those stand for it in which a
+    landmark is heard at a kernel value of loud, each by its loudest word, as an example of 1.
+    A logistic curve over the greatest margin of a document's sentences and over the numbers and shares of words with a high one gives
+    probabilities. Without both labels, or without landmarks, all texts get the rate of toxic rows, at most 0.49.
+    """
+    n = [sum(v == k for _, v in rows) for k in (0, 1)]
+    chosen = landmarks_of(rows, landmarks=landmarks, least=least, ratio=ratio, alike=alike) if all(n) else []
+    if not chosen:
+        return {"landmarks": [], "rate": n[1] / max(1, sum(n))}
+    kernel = Kernel(chosen)
+    values, vectors = np.linalg.eigh(kernel.between() + 1e-3 * np.eye(len(chosen)))
+    root = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
+    bags, clean = [], Counter()  # a toxic document's sentences, each by its heard words
+    for text, toxic in rows:
+        kernel.learn_new(words_of(text))
+        own = [found for s in sentences(text) if (found := [w for w in s if w in kernel.heard])]
+        if toxic:
+            bags.append(own)
+        else:
+            clean.update(w for s in own for w in s)
+    names = sorted(clean.keys() | {w for own in bags for s in own for w in s})
+    at = {w: i for i, w in enumerate(names)}
+    heard = np.array([kernel.heard[w] for w in names], np.float64).reshape(-1, len(chosen))
+    x = np.concatenate([heard @ root, np.zeros((1, len(chosen)))])  # the last: words that no landmark hears
+    weight = np.append(np.array([clean[w] for w in names], np.float64), 1 + clean.total())
+
+    loudest, toxic = heard.max(1, initial=0), np.zeros(len(names))
+    for own in bags:
+        for sentence in own:
+            i = max((at[w] for w in sentence), key=loudest.__getitem__)
+            toxic[i] += loudest[i] >= loud
+    if not toxic.any():
+        return {"landmarks": [], "rate": n[1] / sum(n)}
+    both, y = np.concatenate([x[:-1], x]), np.concatenate([np.ones(len(names)), -np.ones(len(x))])
+    share = np.concatenate([0.4 * toxic / toxic.sum(), 0.6 * weight / weight.sum()])
+    own = share > 0
+    w, b = _hinge(both[own], y[own], share[own], rounds, penalty)
     model = {"landmarks": chosen, "root": root, "w": w, "b": b, "rate": n[1] / sum(n)}
     scorer = Scorer(model)
+    scorer.kernel = kernel
     x, labels = np.array([scorer.measures(t) for t, _ in rows]), np.array([v for _, v in rows], float)
     sides = np.where(labels > 0, 0.3 / labels.sum(), 0.7 / (1 - labels).sum())  # a toxic document is rarer than a clean one
     return model | {"last": _logistic(x, labels, sides)}
@@ -209,15 +247,14 @@ class Scorer:
         """Learns the new words of texts at once; what was learned before goes when it is too much."""
         if self.kernel:
             if len(self.kernel.known) > self.kernel.most:
-                self.kernel.known.clear()
-            self.kernel.best(sorted(set().union(*(words_of(x) for x in texts if x)).difference(self.kernel.known)))
+                self.kernel.forget()
+            self.kernel.learn_new(set().union(*(words_of(x) for x in texts if x)))
 
     def measures(self, text: str) -> list[float]:
         """The greatest margin of a sentence, which is that of its most toxic word; the numbers of words over 0 and over 0.8 and their shares, in logarithms."""
-        words = words_of(text)
-        self.kernel.best([x for x in dict.fromkeys(words) if x not in self.kernel.known])
-        margins = [v @ self.line for x in words if (v := self.kernel.known.get(x)) is not None]
-        margins = np.array(margins) + self.model["b"] if margins else np.zeros(0)
+        words, heard = words_of(text), self.kernel.heard
+        self.kernel.learn_new(words)
+        margins = np.array([heard[x] for x in words if x in heard]).reshape(-1, len(self.line)) @ self.line + self.model["b"]
         over = [(margins > 0).sum(), (margins > 0.8).sum()]
         return [max([self.model["b"], *margins.tolist()]), *(f for n in over for f in (math.log1p(n), math.log1p(1000 * n / (len(words) + 20))))]
 
@@ -228,27 +265,25 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip((np.array(self.measures(text or "")) - middle) / spread @ w + b, -30, 30))))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, rows: int = 2500, characters: int = 16_000_000) -> dict:
-    """Fits on labelled rows whose crc32(doc_id as text) mod 5 is not 0: about rows of each label by hash, of characters in all at most.
+def train(docs: DataFrame, labels: DataFrame, *, rows: int = 2500, longest: int = 20_000) -> dict:
+    """Fits on labelled rows whose crc32(doc_id as text) mod 5 is not 0: about rows of each label by hash, with texts of longest characters at most.
 
-    Only this bounded sample reaches the driver. A label other than 0 and 1, or a null, and a null or over-long text (100,000 characters) is no example.
+    Only this bounded sample reaches the driver: the chosen ids are counted, never more than 4 * rows, and sent to where the texts are. A label other
+    than 0 and 1 or a null, and a null or longer text is no example; a doc_id that has both labels is one of each.
     """
-    own = labels.where("toxic in (0, 1) and doc_id is not null and crc32(cast(doc_id as string)) % 5 <> 0").select("doc_id", "toxic").distinct()
+    own = labels.where("toxic in (0, 1) and doc_id is not null and crc32(cast(doc_id as string)) % 5 <> 0").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     sizes = {r.toxic: r["count"] for r in own.groupBy("toxic").count().collect()}
     fate = F.when(F.col("toxic") == 1, F.lit(rows / max(1, sizes.get(1, 0)))).otherwise(F.lit(rows / max(1, sizes.get(0, 0))))
-    chosen = own.where(F.expr("pmod(xxhash64(doc_id, 5), 1000000)") < fate * 1_000_000)
-    texts = docs.join(chosen, "doc_id").where("text is not null and length(text) <= 100000").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    found, size = [], 0
-    for r in texts.orderBy(F.xxhash64("doc_id"), "toxic").limit(2 * rows).toLocalIterator():
-        size += len(r.text)
-        if size > characters:
-            break
-        found.append((r.text, r.toxic))
-    return fit(found)
+    chosen = stored(own.where(F.expr("pmod(xxhash64(doc_id, 5), 1000000)") < fate * 1_000_000).orderBy(F.xxhash64("doc_id"), "toxic").limit(4 * rows), "chosen")
+    texts = docs.where(f"text is not null and length(text) <= {longest}").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").limit(4 * rows)
+    return fit([(r.text, r.toxic) for r in sorted(texts.collect(), key=lambda r: (r.doc_id, r.toxic, r.text))])
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, score (0 to 1) and predicted (1 from 0.5) for each row of docs; a null or empty text has the score of a text without any word."""
+    """doc_id, score (0 to 1) and predicted (1 from 0.5) for each row of docs; a null or empty text has the score of a text without any word.
+
+    The whole text counts, however long. Equal texts have equal scores; rows that repeat are each scored, an empty table gives none, and other columns are left out.
+    """
     sent, key = docs.sparkSession.sparkContext.broadcast(model), f"toxicity-{uuid.uuid4()}"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

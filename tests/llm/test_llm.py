@@ -200,8 +200,28 @@ def test_toxicity_tolerates_an_inserted_letter():
     scorer = toxicity.Scorer(toxicity.fit([(" ".join(x), y) for x, y in rows]))
     plain = " ".join(words)
     assert all(scorer.score(f"{plain} {w}") > 0.5 > scorer.score(plain) for w in ("idxiot", "idixot", "scxum", "moxron"))
-    scorer.kernel.best(["idxxiot", "scxxum"])
-    assert all(scorer.kernel.known[w] is not None for w in ("idxxiot", "scxxum"))
+    scorer.kernel.learn_new(["idxxiot", "scxxum"])
+    assert {"idxxiot", "scxxum"} <= scorer.kernel.heard.keys()
+
+
+def test_sentences_hold_every_word():
+    text = "One two. Three i d i o t four!\nfive " + " ".join(["we"] * 100) + " six"
+    found = toxicity.sentences(text)
+    assert [w for s in found for w in s] == [w.rstrip(".!") if w in ("two.", "four!") else w for w in toxicity.words_of(text)] and max(map(len, found)) == 40 and found[0] == ["one", "two"]
+
+
+def test_query_learns_labels_that_are_not_held_out(spark, tmp_path):
+    rng = random.Random(16)
+    words = ["table", "river", "green", "walking", "softly", "paper", "window", "stone", "under", "bright"]
+    rows = [(i, ". ".join(" ".join(rng.choice(words) for _ in range(8)) + (" you idiot" if i % 4 == 0 and k == 2 else "") for k in range(5))) for i in range(400)]
+    rows += [(400, None), (401, ""), (402, rows[4][1] * 400), (None, "you idiot"), (3, rows[3][1])]
+    spark.createDataFrame([(i, x, 0.1) for i, x in rows], "doc_id long, text string, score double").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 4 == 0) if zlib.crc32(str(i).encode()) % 5 else 1) for i in range(400)]  # wrong where held out
+    spark.createDataFrame([*labels, (None, 1), (5, None), (6, 7)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = toxicity.op5_toxicity(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in got)
+    assert np.mean([r.predicted == int(r.doc_id % 4 == 0) for r in got if r.doc_id is not None and r.doc_id < 400]) > 0.98
+    assert {r.doc_id: r.predicted for r in got if r.doc_id in (400, 401, 402)} == {400: 0, 401: 0, 402: 1}
 
 
 def test_kernel_is_the_subsequence_kernel():
