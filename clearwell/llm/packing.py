@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from clearwell.llm import tokens
 from clearwell.llm.common import documents, stored, values
 
+log = logging.getLogger(__name__)
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
@@ -44,73 +47,104 @@ def pieces(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, e
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
-def _knapsack(lengths: np.ndarray, worth: np.ndarray, size: int) -> np.ndarray:
-    """The copies of each length in the most valuable configuration of at most size tokens: unbounded knapsack by dynamic programming."""
-    best, choice = np.zeros(size + 1), np.full(size + 1, -1, np.int64)
-    order = np.argsort(lengths)
-    ls, ws = lengths[order], worth[order]
-    upto = np.searchsorted(ls, np.arange(size + 1), side="right")
-    for c in range(int(ls[0]), size + 1):
+def _knapsack(lengths: np.ndarray, worth: np.ndarray, size: int) -> tuple[np.ndarray, list[int]]:
+    """Unbounded knapsack by dynamic programming over rising lengths: the greatest worth within each capacity, and the length that is taken last there, -1
+    where the capacity's last token stays free."""
+    best, choice = np.zeros(size + 1), [-1] * (size + 1)
+    upto = np.searchsorted(lengths, np.arange(size + 1), side="right").tolist()
+    for c in range(int(lengths[0]), size + 1):
         k = upto[c]
-        got = ws[:k] + best[c - ls[:k]]
+        got = worth[:k] + best[c - lengths[:k]]
         j = int(got.argmax())
         if got[j] > best[c - 1]:
             best[c], choice[c] = got[j], j
         else:
             best[c] = best[c - 1]
-    copies, c = np.zeros(len(ls), np.int64), size
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
+    return best, choice
+
+
+def _configuration(lengths: list[int], choice: list[int], capacity: int) -> Counter:
+    """The copies of each length that make up the greatest worth within capacity."""
+    out: Counter = Counter()
+    while capacity > 0:
+        j = choice[capacity]
+        if j < 0:
+            capacity -= 1
         else:
-            copies[choice[c]] += 1
-            c -= int(ls[choice[c]])
-    out = np.zeros_like(copies)
-    out[order] = copies
+            out[j] += 1
+            capacity -= lengths[j]
     return out
 
 
-def solve(histogram: dict[int, int], size: int, *, eta: float = 0.2, long: float = 0.3, smooth: int = 100, most: int = 300) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Groups (number of sequences, [(length, copies of it in each)]) that hold every piece of the histogram exactly.
+def fractional(demand: dict[int, int], size: int, *, eta: float = 0.2, long: float = 0.3, stride: float = 0.5, columns: int = 128, near: float = 0.1, cover: float = 0.95) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """A solution of the configuration linear program: ({length: copies}, how many sequences of it) for each configuration, and a lower bound.
 
-    The linear program takes configurations to cover each length's demand with the fewest sequences. Multiplicative weights
-    solve it: a length's weight is exp(-eta * covered share), its price the weight times its length, and the configuration
-    that the knapsack prices highest gets the next step. Steps are whole numbers and never exceed what is left, so the
-    solution is rounded as it grows. smooth: steps that take a quarter of what the scarcest length allows; later steps take all
-    of it, which exhausts a length each, so the work is bounded by the number of lengths. What is left after most steps, or
-    fits into no full configuration, goes by best fit decreasing into the gaps.
+    The program covers each length's demand by fractions of configurations, with the fewest sequences. Multiplicative weights solve it: a length's
+    weight is exp(-eta * covered share); its price is the weight times its length, the long ones' raised by up to the share long. The knapsack gives
+    the configuration of the highest price and, for the columns lengths that are least covered, the best one that holds them, if it is within the share near of the highest. Each
+    goes one step: stride times the demand of the length that allows least (one piece at least), or what is left of it. A covered length is out, so there are
+    1 / stride steps a length at most. It ends when the share cover of all tokens is covered: what is left joins what rounding leaves. Any prices give a dual bound, the value of the demand over that of the best configuration; the greatest is returned.
+    """
+    every = np.array(sorted(demand))
+    need = np.array([demand[k] for k in every.tolist()], np.float64)
+    left, bound, out = need.copy(), float((every * need).sum()) / size, []
+    while len(open_ := np.flatnonzero(left > 1e-9 * need)) and (every * left).sum() > (1 - cover) * (every * need).sum():
+        lengths, share = every[open_], left[open_] / need[open_]
+        price = lengths * (1 + long * lengths / size) * np.exp(-eta * (1 - share))
+        best, choice = _knapsack(lengths, price, size)
+        bound = max(bound, float((price * need[open_]).sum()) / best[size])
+        ls = lengths.tolist()
+        found = [_configuration(ls, choice, size)]
+        for j in np.argsort(-share, kind="stable")[:columns].tolist():
+            if price[j] + best[size - ls[j]] >= (1 - near) * best[size]:
+                found.append(_configuration(ls, choice, size - ls[j]) + Counter([j]))
+        for copies in found:
+            step = min(min(left[open_[j]], max(stride * need[open_[j]], 1.0)) / n for j, n in copies.items())
+            if step > 0:
+                out.append(({ls[j]: n for j, n in copies.items()}, step))
+                for j, n in copies.items():
+                    left[open_[j]] -= step * n
+    return out, bound
+
+
+def dual(demand: dict[int, int], size: int, steps: int = 16) -> float:
+    """A lower bound by the prices of threshold functions: of a length over size - t a whole sequence, of one below t nothing, else its own share."""
+    lengths = np.array(sorted(demand))
+    need, bound = np.array([demand[k] for k in lengths.tolist()], np.float64), 0.0
+    for t in sorted({size * i // (2 * steps) for i in range(steps + 1)}):
+        price = np.where(lengths > size - t, 1.0, np.where(lengths < t, 0.0, lengths / size))
+        if price.any():
+            bound = max(bound, float((price * need).sum()) / _knapsack(lengths, price, size)[0][size])
+    return bound
+
+
+def solve(histogram: dict[int, int], size: int, **options) -> tuple[list[tuple[int, list[tuple[int, int]]]], float]:
+    """(groups (number of sequences, [(length, copies of it in each)]) that hold every piece of the histogram exactly, lower bound on the sequences).
+
+    The linear program's fractions are rounded down to whole sequences. What is left is a smaller histogram, whose program is solved in its turn, until
+    rounding down leaves more than half; the rest, which is of the order of a sequence for each configuration of the last program, goes by best fit decreasing into the gaps.
     """
     groups: list[tuple[int, int, list[tuple[int, int]]]] = []  # sequences, room, contents
     left = {k: v for k, v in histogram.items() if v > 0}
+    bound = 0.0
     if size in left:
         groups.append((left.pop(size), 0, [(size, 1)]))
-    demand = dict(left)
-    for step in range(most):
-        total = sum(k * v for k, v in left.items())
-        if total <= 4 * size:
+    first = True
+    while left:
+        found, least = fractional(left, size, **options)
+        bound, first, rounded, total = (max(least, dual(left, size)) if first else bound), False, 0, sum(k * n for k, n in left.items())
+        room = [size - sum(k * n for k, n in copies.items()) for copies, _ in found]
+        for i in sorted(range(len(found)), key=lambda i: (room[i], -found[i][1])):
+            copies, share = found[i]
+            times = min(int(share + 1e-9), min(left.get(k, 0) // n for k, n in copies.items()))
+            if times:
+                groups.append((times, room[i], sorted(copies.items())))
+                for k, n in copies.items():
+                    left[k] -= times * n
+                rounded += times
+        left = {k: n for k, n in left.items() if n}
+        if 2 * rounded * size < total:  # most is left
             break
-        lengths = np.array(sorted(left))
-        have, need = np.array([left[k] for k in lengths.tolist()]), np.array([demand[k] for k in lengths.tolist()])
-        copies = np.minimum(_knapsack(lengths, lengths * (1 + long * lengths / size) * np.exp(-eta * (1 - have / need)), size), have)
-        room = size - int((copies * lengths).sum())
-        while room >= lengths[0]:  # a length that ran short leaves a gap: the longest that still fits fills it
-            fits = np.flatnonzero((lengths <= room) & (have > copies))
-            if not len(fits):
-                break
-            j = fits[-1]
-            k = min(room // lengths[j], have[j] - copies[j])
-            copies[j] += k
-            room -= int(k * lengths[j])
-        used = np.flatnonzero(copies)
-        times = int((have[used] // copies[used]).min())
-        if step < smooth:
-            times = max(1, times // 4)
-        groups.append((times, room, [(int(lengths[j]), int(copies[j])) for j in used]))
-        for j in used:
-            k = int(lengths[j])
-            left[k] -= times * int(copies[j])
-            if not left[k]:
-                del left[k]
     for length in sorted(left, reverse=True):
         count = left[length]
         while count:
@@ -125,7 +159,7 @@ def solve(histogram: dict[int, int], size: int, *, eta: float = 0.2, long: float
             if take < n:
                 groups.append((n - take, room, inside))
             count -= take * each
-    return [(n, inside) for n, _, inside in groups if inside]
+    return [(n, inside) for n, _, inside in groups if inside], bound + histogram.get(size, 0)
 
 
 def places(groups: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarray]:
@@ -152,7 +186,9 @@ def pack(docs: DataFrame, *, size: int = 2048, tokenizer: str | None = None, end
     cut = stored(pieces(docs, size=size, tokenizer=tokenizer, end_id=end_id, known=known), "pieces")
     counts = stored(cut.groupBy("length", "part").agg(F.count("*").alias("n")), "lengths")
     histogram = {int(r.length): int(r.n) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    at = places(solve(histogram, size))
+    groups, bound = solve(histogram, size)
+    log.warning("best-fit packing: %d sequences, at least %.1f needed", sum(n for n, _ in groups), bound)
+    at = places(groups)
     before = counts.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
     ranked = cut.join(before, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
 
