@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import documents, partitions, stored
+from clearwell.llm.common import documents, drop, partitions, stored
 
 
 def words_in(text: str) -> Column:
@@ -41,25 +41,26 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float =
     at which the integral of the source's weight schedule, target * ((1 - slope) t + slope t^2), has reached x.
 
     The place in the stream is a prefix sum in two steps: over buckets of hash ranges, bucket_words words each on average, whose number so follows the source's size,
-    and over the documents of a bucket. Size counts the words of the whole text (null: 0). Null sources are one source. A document
-    of size 0 takes nothing and has no position. Rows that repeat come as often; equal rows share a hash and a bucket, in any order.
+    and over the documents of a bucket. The tables of sources and buckets are stored, and sent out only if Spark finds them small. Size counts the words of
+    the whole text (null: 0). Null sources are one source. A document of size 0 takes nothing and has no position. Rows that repeat a doc_id are rows of
+    their own, in the order of size and text; wholly equal rows share out their places in any order. An empty table gives none. Columns that clash with the new names are replaced.
     """
     names = ("size", "source_size", "target", "taken", "positions")
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in names))
-    sized = docs.withColumn("size", words_in("text"))
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = stored(targets(per, weights, share, most), "targets")
-    kept = sized.withColumn("_at", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(8)))
+    sized = docs.withColumn("size", words_in("text")).withColumn("_at", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(8)))
+    narrow = stored(sized.select("source", "size", "_at"), "sizes")
+    plan = stored(targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
     named = plan.withColumnRenamed("source", "_source")
-    joined = kept.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")  # one row a source
-    joined = joined.withColumn("_buckets", F.ceil(F.col("source_size") / bucket_words) + 1)
-    joined = joined.withColumn("_bucket", F.expr("cast(floor((_at / 18446744073709551616D + 0.5D) * _buckets) as int)"))
-    sums = joined.groupBy("source", "_bucket").agg(F.sum("size").alias("_n"))
-    before = sums.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), (F.sum("_n").over(Window.partitionBy("source").orderBy("_bucket")) - F.col("_n")).alias("_before"))
+    bucket = F.expr(f"cast(floor((_at / 18446744073709551616D + 0.5D) * (ceil(source_size / {bucket_words}) + 1)) as int)").alias("_b")
+    of = lambda rows: rows.join(named, F.col("source").eqNullSafe(F.col("_source")))
+    sums = of(narrow).select("source", bucket, "size").groupBy("source", "_b").agg(F.sum("size").alias("_n"))
+    before = stored(sums.select(F.col("source").alias("_s"), "_b", (F.sum("_n").over(Window.partitionBy("source").orderBy("_b")) - F.col("_n")).alias("_before")), "buckets")
+    drop(narrow)
+    joined = of(sized).drop("_source").withColumn("_bucket", bucket)
     at = joined.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))).drop("_s", "_b")
-    inside = Window.partitionBy("source", "_bucket").orderBy("_at", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("source", "_bucket").orderBy("_at", "doc_id", "size", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at = at.withColumn("_start", F.col("_before") + F.sum("size").over(inside) - F.col("size"))
-    uses = F.expr("filter(transform(sequence(0, 1), r -> _start + r * source_size), x -> size > 0 and 2 * x + size <= 2 * target)")
+    uses = F.expr(f"filter(transform(sequence(0, cast(ceil({float(most)}D) as int)), r -> _start + r * source_size), x -> size > 0 and 2 * x + size <= 2 * target)")
     time = F.expr("transform(_uses, x -> case when slope = 0 then x / target else (sqrt(pow(1 - slope, 2) + 4 * slope * x / target) - (1 - slope)) / (2 * slope) end)")
     at = at.withColumn("_uses", uses).withColumn("positions", time).withColumn("taken", F.col("size") * F.size("_uses"))
     return at.select(*(F.col(f"`{c}`") for c in docs.columns), *names)
@@ -72,4 +73,6 @@ def ordered(mixed: DataFrame) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "positions")
+    """The documents range-sorted by their first position, those that the mix doesn't take last."""
+    rows = mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "positions", F.coalesce(F.get("positions", F.lit(0)), F.lit(1.0)).alias("position"))
+    return rows.repartitionByRange(partitions(spark), "position", "doc_id").sortWithinPartitions("position", "doc_id")

@@ -76,7 +76,7 @@ def words_of(text: str, joined: bool = False) -> list[str]:
 
 
 class Kernel:
-    """Kernel values of words with the landmarks. heard: those of words that reach floor with one; the others known count as nothing. most: words kept at most."""
+    """Kernel values of words with the landmarks. heard: those of words that reach floor with one, or with a line their products with it; the others known count as nothing. most: words kept at most."""
 
     def __init__(self, landmarks: list[str], decay: float = 0.6, span: int = 5, floor: float = 0.2, most: int = 600_000):
         self.landmarks, self.decay, self.span, self.floor, self.most = landmarks, decay, span, floor, most
@@ -85,7 +85,8 @@ class Kernel:
         self.table[self.parts[1], self.parts[0]] = self.parts[2]
         self.peak = self.table.max(1)
         self.known: set[str] = set()
-        self.heard: dict[str, np.ndarray] = {}
+        self.heard: dict[str, np.ndarray | float] = {}
+        self.line: np.ndarray | None = None
 
     def between(self) -> np.ndarray:
         word, triple, weight = self.parts
@@ -115,7 +116,7 @@ class Kernel:
             if part:
                 for (_, w), k in zip(part, self.values([c for c, _ in part]), strict=True):
                     if k.max() >= self.floor:
-                        self.heard[w] = k
+                        self.heard[w] = k if self.line is None else float(k @ self.line)
 
     def learn_new(self, words) -> None:
         missing = sorted(set(words).difference(self.known))
@@ -231,7 +232,6 @@ def fit(rows: list[tuple[str, int]], *, landmarks: int = 48, least: float = 25.0
     w, b = _hinge(both[own], y[own], share[own], rounds, penalty)
     model = {"landmarks": chosen, "root": root, "w": w, "b": b, "rate": n[1] / sum(n)}
     scorer = Scorer(model)
-    scorer.kernel = kernel
     x, labels = np.array([scorer.measures(t) for t, _ in rows]), np.array([v for _, v in rows], float)
     sides = np.where(labels > 0, 0.3 / labels.sum(), 0.7 / (1 - labels).sum())  # a toxic document is rarer than a clean one
     return model | {"last": _logistic(x, labels, sides)}
@@ -241,7 +241,7 @@ class Scorer:
     def __init__(self, model: dict):
         self.model, self.kernel = model, Kernel(model["landmarks"]) if model["landmarks"] else None
         if self.kernel:
-            self.line = model["root"] @ model["w"]
+            self.kernel.line = model["root"] @ model["w"]
 
     def prepare(self, texts: list[str | None]) -> None:
         """Learns the new words of texts at once; what was learned before goes when it is too much."""
@@ -254,7 +254,7 @@ class Scorer:
         """The greatest margin of a sentence, which is that of its most toxic word; the numbers of words over 0 and over 0.8 and their shares, in logarithms."""
         words, heard = words_of(text), self.kernel.heard
         self.kernel.learn_new(words)
-        margins = np.array([heard[x] for x in words if x in heard]).reshape(-1, len(self.line)) @ self.line + self.model["b"]
+        margins = np.array([heard[x] for x in words if x in heard]) + self.model["b"]
         over = [(margins > 0).sum(), (margins > 0.8).sum()]
         return [max([self.model["b"], *margins.tolist()]), *(f for n in over for f in (math.log1p(n), math.log1p(1000 * n / (len(words) + 20))))]
 

@@ -73,15 +73,55 @@ def test_solver_keeps_every_piece():
     rng = random.Random(2)
     for size in (10, 100):
         h = Counter(min(size, max(1, int(rng.expovariate(5 / size)))) for _ in range(2000))
-        groups = packing.solve(dict(h), size)
+        groups, bound = packing.solve(dict(h), size)
         got = Counter()
         for n, inside in groups:
             assert sum(a * b for a, b in inside) <= size
             for a, b in inside:
                 got[a] += n * b
         assert got == h
-        assert sum(n for n, _ in groups) <= math.ceil(sum(a * b for a, b in h.items()) / size) * 1.02 + 2
-    assert packing.solve({}, 10) == []
+        assert math.ceil(bound) <= sum(n for n, _ in groups) <= math.ceil(sum(a * b for a, b in h.items()) / size) * 1.02 + 2
+    assert packing.solve({}, 10) == ([], 0.0) and packing.solve({10: 3}, 10) == ([(3, [(10, 1)])], 3)
+
+
+def test_solver_against_brute_force():
+    def fewest(items, size):
+        """Of all ways to put items into bins."""
+        best = len(items)
+
+        def put(i, room):
+            nonlocal best
+            if len(room) >= best:
+                return
+            if i == len(items):
+                best = len(room)
+                return
+            for j in {r: j for j, r in enumerate(room) if r >= items[i]}.values():
+                put(i + 1, [r - items[i] if k == j else r for k, r in enumerate(room)])
+            put(i + 1, [*room, size - items[i]])
+
+        put(0, [])
+        return best
+
+    rng = random.Random(13)
+    for _ in range(25):
+        items = sorted((rng.randrange(1, 21) for _ in range(9)), reverse=True)
+        groups, bound = packing.solve(dict(Counter(items)), 20)
+        assert bound - 1e-9 <= fewest(items, 20) <= sum(n for n, _ in groups) <= fewest(items, 20) + 1
+    groups, bound = packing.solve({1200: 500, 900: 300}, 2048)
+    assert sum(n for n, _ in groups) == 650 and 600 < bound <= 650
+
+
+def test_fractions_cover_the_demand():
+    rng = random.Random(14)
+    demand = Counter(rng.randrange(1, 100) for _ in range(3000))
+    found, bound = packing.fractional(dict(demand), 100, cover=1.0)
+    covered = Counter()
+    for copies, share in found:
+        assert sum(k * n for k, n in copies.items()) <= 100
+        for k, n in copies.items():
+            covered[k] += n * share
+    assert all(abs(covered[k] - n) < 1e-6 for k, n in demand.items()) and bound <= sum(share for _, share in found) <= 1.01 * bound
 
 
 def test_binary_round_trip(spark, docs, empty, coder, tmp_path):
@@ -375,6 +415,18 @@ def test_mixing(spark, docs, empty):
     uses = mixing.ordered(mixing.mix(df)).collect()
     assert sum(r["size"] for r in uses) == sum(taken.values())
     assert mixing.mix(docs).count() == docs.count() and mixing.mix(empty).count() == 0
+    more = mixing.mix(df.where("source = 'a'"), share=3.0, most=3.0).agg(F.sum("taken"), F.max("target"), F.sum("size")).first()
+    assert abs(more[0] - more[1]) <= 80 and abs(more[1] - 3 * more[2]) < 1e-6
+
+
+def test_mixing_query_is_sorted_by_position(spark, tmp_path):
+    rng = random.Random(15)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 80)) if i else None, rng.choice(["a", "b", None])) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = mixing.op8_mixing(spark, str(tmp_path)).collect()
+    first = [r.positions[0] if r.positions else 1.0 for r in got]
+    assert sorted(first) == first and sorted(r.doc_id for r in got) == list(range(200)) and all(r["size"] == len((rows[r.doc_id][1] or "").split()) for r in got)
+    assert all(r.taken == len(r.positions) * r["size"] and 0 <= r.taken <= 2 * r["size"] for r in got)
 
 
 def test_quality(spark, docs, empty):
