@@ -136,25 +136,29 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, *, rows: int = 200_000) -> DataFrame:
     """(node, component): each node of the undirected edges with the smallest node that it can reach.
 
-    Alternating large and small stars; every round is written to the shared folder, and only its size and checksum come to the driver.
+    Alternating large and small stars; every round is written to the shared folder, the one before it goes, and only its size and checksum come to the
+    driver. The edges are dealt by node over a task for each rows of them, the session's shuffle partitions at most, which serves a whole star.
     """
+    spark = edges.sparkSession
     both = lambda e: e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    sign = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     def star(pairs: DataFrame) -> DataFrame:
         least = pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         return pairs.join(least, "u")
 
     e = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
-    sign = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = sign(e)
+    n = max(1, min(partitions(spark), -(-seen[0] // rows)))
     while seen[0]:
-        large = star(both(e)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = star(both(e).repartition(n, "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").repartition(n, "u").distinct()
         down = star(large)
-        small = down.select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = stored(small, "edges")
+        small = down.select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v"))).where("u <> v").repartition(n, "u").distinct()
+        before, e = e, stored(small, "edges")
+        drop(before)
         now = sign(e)
         if now == seen:
             break

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import components, documents, gram_hashes, let_go, partitions, stored, word_hashes
+from clearwell.llm.common import components, documents, drop, gram_hashes, let_go, partitions, stored, word_hashes
 
 SETS = "doc_id long, n_shingles long, cls long, first int, prefix array<long>, fragments array<array<long>>"
 
@@ -29,7 +29,17 @@ def _unplanes(x: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel().astype(np.int64))
 
 
-def marks(docs: DataFrame, *, shared_bits: int = 27, heavy_bits: int = 25, heavy: int = 48, k: int = 5, buckets: int | None = None) -> tuple[bytes, bytes]:
+#: Bits of the larger map at least and at most: 128 MB bound what is sent out.
+FEWEST_BITS, MOST_BITS = 20, 30
+
+
+def map_bits(docs: DataFrame) -> int:
+    """The bits of a map with one for each 12 bytes of text, about two words."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MOST_BITS, max(FEWEST_BITS, (size // 12).bit_length()))
+
+
+def marks(docs: DataFrame, *, shared_bits: int, heavy_bits: int, heavy: int = 48, k: int = 5, buckets: int | None = None) -> tuple[bytes, bytes]:
     """Two bit maps over leading hash bits: shingles that two or more documents have, and those that heavy or more have.
 
     All documents count. Their sizes, 2**shared_bits and 2**heavy_bits bits, bound what is sent out. Distinct shingles may share a
@@ -88,10 +98,13 @@ def sets(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFram
 
     The global order: shingles that no other document has, then the rest by hash, then the heavy ones by hash. Sets that reach
     the threshold meet within the first n - ceil(3n / 4) + 1 shingles of either. Shingles without a partner fill places there
-    but are not kept; first is the number of them. fragments: the set, cut by hash range.
+    but are not kept; first is the number of them. fragments: the rest of the set, cut where the global order is: fragments ranges of hashes, and last the heavy ones.
+    The maps have a bit for each 12 bytes of text, unless bits says otherwise.
     """
-    bits = {"shared_bits": 27, "heavy_bits": 25} | bits
+    n = bits.get("shared_bits") or map_bits(docs)
+    bits = {"shared_bits": n, "heavy_bits": n - 2} | bits
     maps = docs.sparkSession.sparkContext.broadcast(marks(docs, k=k, **bits))
+    cuts = np.array([(i << 64) // fragments for i in range(1, fragments)], np.uint64)
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -113,9 +126,9 @@ def sets(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFram
                 prefix = cut = None
                 if first < keep:
                     often = of(heavy, known, bits["heavy_bits"])
-                    prefix = np.concatenate([known[~often], known[often]])[: keep - first].view(np.int64)
-                    at = np.searchsorted(x, np.array([(i << 64) // fragments for i in range(1, fragments)], np.uint64))
-                    cut = [y.view(np.int64) for y in np.split(x, at)]
+                    rare, frequent = known[~often], known[often]
+                    prefix = np.concatenate([rare, frequent])[: keep - first].view(np.int64)
+                    cut = [y.view(np.int64) for y in (*np.split(rare, np.searchsorted(rare, cuts)), frequent)]
                 rows.append((doc_id, len(x), np.uint64(xxhash.xxh3_64_intdigest(x.tobytes())).view(np.int64), None if prefix is None else first, prefix, cut))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())))
             if rows:
@@ -139,7 +152,7 @@ def _close(na: str, ra: str, nb: str, rb: str):
     return 7 * F.least(F.col(na) - F.col(ra), F.col(nb) - F.col(rb)) >= 3 * (F.col(na) + F.col(nb))
 
 
-def join(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFrame:
+def join(docs: DataFrame, *, k: int = 5, fragments: int = 4, cell: int = 256, **bits) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs; linked are sets of k-word shingles with a Jaccard similarity of 0.75.
 
     docs: doc_id, text; other columns are left out. Null, empty and blank texts have no shingle, link with nothing and are their own
@@ -151,8 +164,10 @@ def join(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFram
     component is left, the pairs across components are compared too, but for those which the first pass had. Every pair that reaches
     the threshold is so either compared or in one component already: none is lost, and a group of copies costs no pairs of its own.
     """
-    every = stored(sets(docs, k=k, fragments=fragments, **bits), "sets")
-    kept = stored(every.where("prefix is not null").dropDuplicates(["cls"]).drop("doc_id"), "classes")
+    whole = stored(sets(docs, k=k, fragments=fragments, **bits), "sets")
+    kept = stored(whole.where("prefix is not null").dropDuplicates(["cls"]).drop("doc_id"), "classes")
+    every = stored(whole.select("doc_id", "n_shingles", "cls"), "named")
+    drop(whole)
     rows = kept.select("cls", F.col("n_shingles").alias("n"), "first", F.posexplode("prefix").alias("i", "h")).select("cls", "n", "first", (F.col("first") + F.col("i")).alias("rank"), "h")
     ends = rows.groupBy("h").agg(F.min(F.struct("first", "cls", "n", "rank")).alias("lo"), F.max(F.struct("cls", "n", "rank")).alias("hi"), F.min("cls").alias("least"))
     ends = ends.where("least <> hi.cls").drop("least")
@@ -163,9 +178,15 @@ def join(docs: DataFrame, *, k: int = 5, fragments: int = 4, **bits) -> DataFram
     placed = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     several = placed.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
     left = stored(placed.join(several, "h").where("cls <> lo.cls and cls <> hi.cls").select("h", "cls", "n", "rank", "component"), "open")
-    other = left.select("h", *(F.col(x).alias(f"{x}_b") for x in ("cls", "n", "rank", "component")))
-    across = left.join(other, "h").where("cls < cls_b and component <> component_b").where(_close("n", "rank", "n_b", "rank_b"))
+    drop(lists)
+    # a list of n classes is cut into m cells of about cell classes by hash; every two cells meet on their own, so no list is one key
+    sizes = left.groupBy("h").agg(F.ceil(F.count("*") / cell).cast("int").alias("m"))
+    dealt = left.join(sizes, "h").withColumn("side", F.expr("cast(pmod(xxhash64(cls, 7), m) as int)")).withColumn("o", F.explode(F.expr("sequence(0, m - 1)")))
+    dealt = dealt.select("h", F.least("side", "o").alias("x"), F.greatest("side", "o").alias("y"), "side", "cls", "n", "rank", "component")
+    other = dealt.select("h", "x", "y", *(F.col(x).alias(f"{x}_b") for x in ("side", "cls", "n", "rank", "component")))
+    across = dealt.join(other, ["h", "x", "y"]).where("cls < cls_b and component <> component_b and (x = y or side <> side_b)").where(_close("n", "rank", "n_b", "rank_b"))
     second = stored(similar(across.select(F.col("cls").alias("a"), F.col("cls_b").alias("b")).distinct(), kept), "links")
+    drop(left)
     final = components(first.union(second), "a", "b").withColumnRenamed("node", "cls")
     of_class = every.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
     of_class = of_class.join(final, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
