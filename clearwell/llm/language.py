@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import BASE, documents, held, mixed, some
+from clearwell.llm.common import BASE, documents, held, let_go, mixed, some
 
-RUN = re.compile(r"[^\W\d_]+")
+#: Letters, and the marks on them: numerals and digits are none.
+RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Starts a word in the vocabulary.
 MARK = "▁"
 
@@ -26,15 +27,16 @@ def default_path() -> str:
 
 
 class Vocabulary:
-    """The letter pieces of a sentencepiece vocabulary of at most longest characters, as sorted hashes; a single character that is not among them is unknown."""
+    """The letter pieces of a sentencepiece vocabulary, as sorted hashes; a single character that is not among them is unknown."""
 
-    def __init__(self, path: str, longest: int = 8, cut: int = 24):
+    def __init__(self, path: str, cut: int = 48):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         found = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-        self.pieces = sorted(x for x in found if 0 < len(x) <= longest and RUN.fullmatch(x.replace(MARK, "", 1) or "a"))
+        self.pieces = sorted(x for x in found if x and RUN.fullmatch(x.replace(MARK, "", 1) or "a"))
         self.pieces.sort(key=len)
+        longest = len(self.pieces[-1])
         by_length = [[x for x in self.pieces if len(x) == k] for k in range(1, longest + 1)]
         hashes = np.concatenate([self._hashes(own, k + 1)[k + 1][:, 0] for k, own in enumerate(by_length) if own])
         order = np.argsort(hashes)
@@ -156,21 +158,26 @@ class Scorer:
         return self.langs[best], float(1 / np.exp(odds).sum())
 
 
-def train(docs: DataFrame, *, per_language: int = 1500, words: int = 100_000, path: str | None = None) -> tuple[list[str], np.ndarray]:
-    """Fits on the labelled rows whose crc32(doc_id as text) mod 3 is not 1: about per_language of each language, chosen by hash, and of
-    their words the most frequent, 100,000 at most. Word counts come from Spark; only these bounded counts reach the driver."""
-    rows = docs.where("lang is not null and text is not null and doc_id is not null and crc32(cast(doc_id as string)) % 3 <> 1")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256)
-    chosen = rows.join(F.broadcast(sizes), "lang").where(F.expr(f"pmod(xxhash64(doc_id), 1000000) * count < {per_language} * 1000000D"))
-    tokens = chosen.select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")).where("length(word) between 1 and 200")
-    counts = tokens.groupBy("lang", "word").count().orderBy(F.desc("count"), "lang", "word").limit(words).collect()
-    return fit([tuple(x) for x in counts], path or default_path())
+def train(docs: DataFrame, *, per_language: int = 300, longest: int = 20_000, path: str | None = None) -> tuple[list[str], np.ndarray]:
+    """Fits on labelled rows whose crc32(doc_id as text) mod 3 is not 1: about per_language of each language, chosen by hash, of those whose text has longest characters at most.
+
+    Every language that is a label is learned, from all words of its sample. Word counts come from Spark; only these counts of a bounded sample reach the driver.
+    A null doc_id, text or lang is no example; rows that repeat count as often; an empty table gives a model of no language.
+    """
+    rows = docs.where(f"lang is not null and text is not null and doc_id is not null and length(text) <= {longest} and crc32(cast(doc_id as string)) % 3 <> 1").select("doc_id", "lang", "text")
+    sizes = rows.groupBy("lang").count()
+    chosen = rows.join(sizes, "lang").where(F.expr(f"pmod(xxhash64(doc_id), 1000000) * count < {per_language} * 1000000D"))
+    tokens = chosen.select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
+    counts = tokens.groupBy("lang", "word").count().toPandas()
+    model = fit(sorted(zip(counts["lang"], counts["word"], counts["count"].tolist(), strict=True)), path or default_path())
+    let_go()
+    return model
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, path: str | None = None) -> DataFrame:
     """docs with lang_pred and score (0 to 1), columns of these names replaced. Null texts and texts without a letter: und and 0.
 
-    The whole text counts. A token's score is the forward algorithm's sum over all segmentations of its letter runs.
+    The whole text counts, however long; equal texts have equal results; the first language by name wins a tie; rows that repeat are each scored, an empty table gives none. A token's score is the forward algorithm's sum over all segmentations of its letter runs.
     """
     path, sent = path or default_path(), docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")))
