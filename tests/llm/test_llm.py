@@ -417,6 +417,90 @@ def test_language(spark, docs, empty):
     assert all(got[i].lang_pred == lang for i, _, lang in rows) and got[1000].lang_pred == got[1001].lang_pred == "und" and got[1002].lang_pred == "aa"
     assert language.identify(docs, model).columns.count("score") == 1 and language.identify(docs, model).count() == docs.count() and language.identify(empty, model).count() == 0
     assert language.identify(docs, language.train(empty)).where("lang_pred <> 'und'").count() == 0
+    signs = spark.createDataFrame([(0, "½ ² ① Ⅷ 12 _ !"), (1, "ton" * 400), (2, "lich " * 20_000)], "doc_id long, text string")
+    assert [r.lang_pred for r in language.identify(signs, model).orderBy("doc_id").collect()] == ["und", "aa", "bb"]
+
+
+def test_language_query_is_held_out(spark, tmp_path):
+    rng = random.Random(20)
+    syllables = {"aa": ["ton", "ver", "eth"], "bb": ["lich", "ung", "kei"], "cc": ["ción", "ado", "ñas"]}
+    text = lambda lang: " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(20))
+    rows = []
+    for i in range(300):
+        lang, out = ("aa", "bb", "cc")[i % 3], zlib.crc32(str(i).encode()) % 3 == 1
+        rows.append((i, text(lang), ("cc", "aa", "bb")[i % 3] if out else lang, 1.0))  # held-out labels are wrong
+    rows += [(None, text("aa"), None, None), (500, None, "aa", None), (7, rows[7][1], None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred double").write.parquet(f"{tmp_path}/documents.parquet")
+    got = language.op7_language(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in got)
+    assert np.mean([r.lang_pred == ("aa", "bb", "cc")[r.doc_id % 3] for r in got if r.doc_id is not None and r.doc_id < 300]) > 0.98
+    assert {r.doc_id: r.lang_pred for r in got}[500] == "und"
+
+
+def pipeline_docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string, size string, position string, lang_pred string, _at string")
+
+
+def test_pipeline_stages(spark, tmp_path, coder):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    syllables = {"en": ["ton", "ver", "eth", "ing"], "de": ["lich", "ung", "kei", "sch"]}
+    text = lambda lang, n=60: " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randrange(1, 5))) for _ in range(n))
+    rows = [(i, text(("en", "de")[i % 2]), ("en", "de")[i % 2], f"s{i % 3}" if i % 5 else None, None, "own", "own", "own", "own", "own") for i in range(120)]
+    more = [rows[4][1], rows[4][1] + " more", "12 34 !", "", None, rows[9][1] + ' token = "' + "0123456789abcdef" * 3 + '"', text("en", 4000)]
+    rows += [(200 + i, x, "en", "s0", 5, *["own"] * 5) for i, x in enumerate(more)]
+    rows += [(None, text("en"), None, "s1", None, *["own"] * 5), rows[0]]
+    docs = pipeline_docs(spark, rows)
+    key = lambda r: (r.doc_id is None, r.doc_id, r.text or "")
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0
+        before, docs = docs, common.stored(stage(spark, docs, ""), name)
+        out[name] = (sorted(before.collect(), key=lambda r: (key(r), str(r))), docs.collect())
+        if name != "packing":
+            assert docs.columns == before.columns and all(r.score == r["size"] == r.position == r.lang_pred == r._at == "own" for r in out[name][1])
+    before, after = out["language"]
+    assert sorted(map(str, after)) == sorted(str(r) for r in before if r.text and any(c.isalpha() for c in r.text))
+    before, after = out["near_duplicates"]
+    brute = jaccard_brute([(r.doc_id, r.text) for r in before if r.doc_id is not None])
+    assert sorted(map(str, after)) == sorted(str(r) for r in before if r.doc_id is None or brute[r.doc_id][1] == r.doc_id) and not {200, 201} & {r.doc_id for r in after}
+    before, after = out["secrets"]
+    assert len(after) == len(before) and not any(secrets.base_spans(r.text) for r in after) and all(r.n_chars == len(r.text) for r in after)
+    held_back = {r.doc_id: r.text for r in after}
+    assert sum(r.text == held_back[r.doc_id] for r in before if not secrets.base_spans(r.text)) >= 0.97 * (len(before) - 1) and "[SECRET]" in held_back.get(205, "[SECRET]")
+    before, after = out["mixing"]
+    words, taken = Counter(), Counter()
+    for r in before:
+        words[r.source] += len(r.text.split())
+    for r in after:
+        taken[r.source] += len(r.text.split())
+    weights = dict(zip(sorted(words, key=lambda s: (s is None, s or "")), (5, 2, 1, 5), strict=False))
+    whole, open_, expected = 1.5 * words.total(), set(words), {}
+    while full := {s for s in open_ if (whole - sum(expected.values())) / sum(weights[x] for x in open_) * weights[s] > 2 * words[s]}:
+        expected |= {s: 2 * words[s] for s in full}
+        open_ -= full
+        if not open_:
+            break
+    expected |= {s: (whole - sum(expected.values())) / sum(weights[x] for x in open_) * weights[s] for s in list(open_)} if open_ else {}
+    longest = max(len(r.text.split()) for r in before)
+    assert all(abs(taken[s] - expected[s]) <= longest for s in words) and max(Counter(str(r) for r in after).values()) <= 2 * max(Counter(str(r) for r in before).values())
+    before, after = out["packing"]
+    sizes = Counter((r.doc_id, len(coder.encode(r.text, add_special_tokens=False).ids) + 1) for r in before)
+    assert sum(n * k for (_, n), k in sizes.items()) == sum(r.length for r in after)
+    places = defaultdict(list)
+    for r in after:
+        places[r.sequence_id].append((r.offset, r.length))
+    for own in places.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:], strict=False)) and sum(own[-1]) <= 2048
+
+
+def test_pipeline_runs(spark):
+    import corpus_pipeline
+
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert got.count() > 100 and {"doc_id", "sequence_id", "offset", "length"} <= set(got.columns)
 
 
 def test_forward_sums_all_segmentations():
@@ -429,7 +513,7 @@ def test_forward_sums_all_segmentations():
     def total(s):
         if not s:
             return 1.0
-        return sum((p.get(s[:k], table[-2, 0] if k == 1 else 0.0)) * total(s[k:]) for k in range(1, min(8, len(s)) + 1))
+        return sum((p.get(s[:k], table[-2, 0] if k == 1 else 0.0)) * total(s[k:]) for k in range(1, len(s) + 1))
 
     assert np.isclose(language.forward(v.lattice([word], len(word)), table)[-1][0, 0], total(word))
 
