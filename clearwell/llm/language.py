@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import BASE, documents, held, let_go, mixed, some
+from clearwell.llm.common import BASE, documents, held, let_go, mixed, some, stored
 
 #: Letters, and the marks on them: numerals and digits are none.
 RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -165,7 +165,7 @@ def train(docs: DataFrame, *, per_language: int = 300, longest: int = 20_000, pa
     A null doc_id, text or lang is no example; rows that repeat count as often; an empty table gives a model of no language.
     """
     rows = docs.where(f"lang is not null and text is not null and doc_id is not null and length(text) <= {longest} and crc32(cast(doc_id as string)) % 3 <> 1").select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").count()
+    sizes = stored(rows.groupBy("lang").count(), "languages")  # sent out if Spark finds it small: no text is shuffled
     chosen = rows.join(sizes, "lang").where(F.expr(f"pmod(xxhash64(doc_id), 1000000) * count < {per_language} * 1000000D"))
     tokens = chosen.select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
     counts = tokens.groupBy("lang", "word").count().toPandas()
