@@ -44,7 +44,7 @@ def shard(docs: DataFrame, *, limit: int = 4 << 20) -> DataFrame:
 
     bytes: of the text in UTF-8, 0 for null. A null doc_id hashes as an empty text. Every shard fits limit bytes, but for one document that is longer: its
     shard holds it alone and oversized says so. Documents of equal hash that exceed the limit together, as rows that repeat
-    a doc_id can, are cut into pages of the bucket by the running sum of their bytes; page is 0 elsewhere. An empty table gives no row.
+    a doc_id can, are cut into pages of the bucket by the running sum of their bytes, but for those of over half the limit, which have a page below 0 each; page is 0 elsewhere. An empty table gives no row.
     """
     names = ("bytes", "shard", "depth", "page", "shard_bytes", "oversized")
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in names))
@@ -65,9 +65,10 @@ def shard(docs: DataFrame, *, limit: int = 4 << 20) -> DataFrame:
     found = found.withColumn("shard", bits)
     fits = found.where((F.col("shard_bytes") <= limit) | (F.col("shard_docs") == 1)).withColumn("page", F.lit(0).cast("long"))
     crowded = found.where((F.col("shard_bytes") > limit) & (F.col("shard_docs") > 1))
-    running = Window.partitionBy("shard").orderBy("doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # pages of half the limit by running sum: with documents of at most half, no page exceeds the limit
-    crowded = crowded.withColumn("page", F.floor((F.sum("bytes").over(running) - F.col("bytes")) / (limit // 2)))
+    # documents of over half the limit are alone; the others' pages are half the limit by running sum, which one more document cannot overrun
+    running = Window.partitionBy("shard", "_large").orderBy("doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    crowded = crowded.withColumn("_large", F.col("bytes") > limit // 2)
+    crowded = crowded.withColumn("page", F.when(F.col("_large"), -F.count("*").over(running)).otherwise(F.floor((F.sum("bytes").over(running) - F.col("bytes")) / max(1, limit // 2)))).drop("_large")
     crowded = crowded.withColumn("shard_bytes", F.sum("bytes").over(Window.partitionBy("shard", "page")))
     every = fits.unionByName(crowded).withColumn("oversized", F.col("shard_bytes") > limit)
     return every.select(*(F.col(f"`{c}`") for c in docs.columns), *names)

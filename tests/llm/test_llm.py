@@ -645,6 +645,33 @@ def test_sharding(spark, docs, empty):
     assert sharding.shard(docs).count() == docs.count() and sharding.shard(empty).count() == 0
 
 
+def test_pages_never_overrun(spark):
+    rng = random.Random(22)
+    df = spark.createDataFrame([(1, "x" * rng.randrange(93)) for _ in range(60)] + [(1, "y" * 300), (2, None)], "doc_id long, text string")
+    size = Counter()
+    for r in sharding.shard(df, limit=100).collect():
+        size[r["shard"], r.page] += r.bytes
+        assert r.oversized == (r.bytes == 300)
+    assert sorted(size.values())[-2] <= 100 and max(size.values()) == 300 and len(size) > 30
+
+
+def test_sharding_against_sql(spark):
+    import duckdb
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    rows = con.execute(sharding.ORACLE_SQL.replace(str(4 << 20), "20000"))
+    names = [x[0] for x in rows.description]
+    got = sharding.shard(spark.read.parquet(f"{sf}/documents.parquet"), limit=20_000).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(rows.fetchall()) and len({r["shard"] for r in got}) > 10
+
+
+def test_shards_are_written(spark, tmp_path):
+    df = spark.createDataFrame([(i, "x" * 50, "own") for i in range(100)], "doc_id long, text string, depth string")
+    got = sharding.write(df, f"{tmp_path}/s", limit=1000)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(100)) and got.select("shard").distinct().count() > 4
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (7, 8), (8, 7), (1, 1), (20, 21), (21, 22), (22, 23), (23, 24)], "a long, b long")
     got = {(r.node, r.component) for r in common.components(edges, "a", "b").collect()}
