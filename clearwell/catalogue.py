@@ -32,13 +32,13 @@ def _with(*views: str, then: str) -> str:
 
 
 # DuckDB's side of the expressions
-ND = r"(?i)(^|\b)(nd|bdl|non[-\s]?detect(ed)?|not\s+detected|none\s+detected|<\s*(mdl|rl|loq))\b"
+ND = "(?i)" + fixed.NON_DETECT
 _strip = lambda c: rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
 _norm = lambda c: _strip(rf"regexp_replace(lower(translate({c}, 'µμ', 'uu')), '\s+', ' ', 'g')")
 _sep = lambda c: rf"regexp_replace(regexp_replace({_strip(c)}, '(\d),(\d{{3}})(\D|$)', '\1\2\3', 'g'), '(\d),(\d{{1,2}})(\D|$)', '\1.\2\3', 'g')"
 _num = lambda c, p: f"try_cast(regexp_extract({c}, '{p}', 1) AS double)"
 _in = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
-LESS, PLAIN = r"<\s*(\d+(?:\.\d+)?)", r"(\d+(?:\.\d+)?)"
+LESS, PLAIN = fixed.LESS_THAN, fixed.PLAIN_NUMBER
 DERIVED = f"CASE WHEN regexp_matches({_sep('result_raw')}, '{ND}') THEN 0.0 ELSE coalesce({_num(_sep('result_raw'), LESS)}, {_num(_sep('result_raw'), PLAIN)}) * CASE WHEN {_norm('unit_raw')} IN ('mg/l', 'ppm') THEN 1000.0 ELSE 1.0 END END"
 _unit = f"rtrim({_norm('unit_raw')}, '.,;: ')"
 UNIT = f"CASE WHEN unit_raw IS NULL OR {_unit} = '' THEN 'none' WHEN {_unit} IN ('ug/l', 'ppb', 'ppb (ug/l)', 'ug/l (ppb)') THEN 'ppb' WHEN {_unit} IN ('mg/l', 'ppm') THEN 'scaled' WHEN {_unit} IN {_in(fixed.MISREAD_UNITS)} THEN 'misread' ELSE 'unknown' END"
@@ -86,7 +86,7 @@ def q04_range_check(spark, sf_dir):
 
 @query(_with("a1", then=f"SELECT document_id, line_no, result_raw, unit_raw, result_ppb FROM a1 WHERE {MISMATCH}"))
 def q05_rederive_mismatch(spark, sf_dir):
-    return _rows(spark, sf_dir).where(F.array_contains(validation.unit_codes(), "mismatch")).select("document_id", "line_no", "result_raw", "unit_raw", "result_ppb")
+    return validation.read(_rows(spark, sf_dir)).where(F.array_contains(validation.unit_codes(), "mismatch")).select("document_id", "line_no", "result_raw", "unit_raw", "result_ppb")
 
 
 @query(_with("a1", then="SELECT confidence < 0.70 AS held, count(*) AS n FROM a1 GROUP BY ALL"))
@@ -114,7 +114,19 @@ def q09_source_span(spark, sf_dir):
     return rows.select("document_id", "page_num", (~F.array_contains(codes, "value_not_in_text")).alias("has_value"), (~F.array_contains(codes, "place_not_in_text")).alias("has_place"))
 
 
-@query(_with("a1", then=f", {GATED} SELECT document_id, line_no, concat('Row held by validation (S-', document_id, '-', line_no, '): ', replace(codes, ',', '; ')) AS detail FROM g WHERE codes <> ''"))
+_VALUES = {"result": "result_ppb", "derived": f"({DERIVED})", "unit": "unit_raw", "raw": "result_raw", "confidence": "printf('%.2f', confidence)", "most": "'50000'", "least": "'0.70'", "level": "15.0", "place": "''", "missing": "''"}
+
+
+def _said(words: str) -> str:
+    """The DuckDB side of a reason's sentence."""
+    parts = words.replace("}", "{").split("{")
+    return "concat(" + ", ".join(_VALUES[x] if i % 2 else "'" + x.replace("'", "''") + "'" for i, x in enumerate(parts) if x) + ")"
+
+
+SENTENCES = "CASE c " + " ".join(f"WHEN '{name}' THEN {_said(words)}" for name, words in fixed.REASONS.items()) + " END"
+
+
+@query(_with("a1", then=f", {GATED} SELECT document_id, line_no, concat('Row held by validation (S-', document_id, '-', line_no, '): ', array_to_string(list_transform(string_split(codes, ','), lambda c: {SENTENCES}), '; ')) AS detail FROM g WHERE codes <> ''"))
 def q10_hold_issue_text(spark, sf_dir):
     return validation.held_text(_gated(spark, sf_dir)).select("document_id", "line_no", "detail")
 
@@ -159,10 +171,18 @@ def q15_batch_plan(spark, sf_dir):
     return pages.batches(pages.kept(view(spark, sf_dir, "a4")))
 
 
-@query(_with("a4", then=""", s AS (SELECT document_id, page_num, substr(coalesce(raw_text, ''), 1, 300) AS snippet FROM a4),
- u AS (SELECT *, sum(length(snippet)) OVER (PARTITION BY document_id ORDER BY page_num) AS used FROM s) SELECT document_id, page_num, snippet, cast(used AS bigint) AS used FROM u WHERE used - length(snippet) < 2000"""))
+_LINE = """CASE WHEN t = '' THEN concat('[Page ', page_num + 1, ': scanned image, no text]') WHEN used >= 2000 THEN concat('... and ', n - len(lines) - 1, ' more pages') ELSE concat('[Page ', page_num + 1, '] ', substr(t, 1, least(300, 2000 - used))) END"""
+
+
+@query(f"""WITH RECURSIVE {duck('a4')}, b AS (SELECT document_id // 4 AS document_id, (document_id % 4) * 6 + page_num AS page_num, {_T} AS t FROM a4),
+ p AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY page_num) AS i, count(*) OVER (PARTITION BY document_id) AS n FROM b),
+ r AS (SELECT DISTINCT document_id, cast(0 AS bigint) AS i, cast([] AS varchar[]) AS lines, cast(0 AS bigint) AS used, false AS full_ FROM p UNION ALL
+  SELECT p.document_id, p.i, CASE WHEN page_num = 0 THEN lines ELSE list_append(lines, {_LINE}) END, CASE WHEN page_num = 0 THEN used ELSE used + length({_LINE}) END, page_num > 0 AND t <> '' AND used >= 2000 FROM r JOIN p ON r.document_id = p.document_id AND p.i = r.i + 1 WHERE NOT full_),
+ l AS (SELECT document_id, arg_max(lines, i) AS lines FROM r GROUP BY 1), f AS (SELECT document_id, max(substr(t, 1, 800)) FILTER (page_num = 0) AS head FROM p GROUP BY 1)
+ SELECT document_id, CASE WHEN coalesce(head, '') = '' THEN '(scanned — no text available)' ELSE head END AS first_page, CASE WHEN len(lines) = 0 THEN '(no text pages)' ELSE array_to_string(lines, chr(10)) END AS data_digest FROM l JOIN f USING (document_id)""")
 def q16_digest_snippets(spark, sf_dir):
-    return pages.digest(view(spark, sf_dir, "a4"))
+    """Four documents as one, so that the budget runs out."""
+    return pages.digest(view(spark, sf_dir, "a4").selectExpr("document_id div 4 as document_id", "cast((document_id % 4) * 6 + page_num as int) as page_num", "raw_text"))
 
 
 @query("SELECT doc_id, sha256(text) AS file_hash, CASE WHEN doc_id = min(doc_id) OVER (PARTITION BY sha256(text)) THEN 'ingested' ELSE 'skipped' END AS outcome FROM documents")
@@ -257,11 +277,12 @@ def q27_fuzzy_match_top1(spark, sf_dir):
 _NAMED = "CASE WHEN document_id % 50 = 0 AND line_no = 1 THEN 'Own School' END"
 
 
-@query(_with("a1", then=f""", r AS (SELECT *, {_NAMED} AS school_name FROM a1), m AS (SELECT document_id, count(*) AS n_rows, round(avg(confidence), 6) AS mean_confidence, bool_or(coalesce(school_name, '') <> '') AS row_school FROM r GROUP BY 1),
+@query(_with("a1", then=f""", r AS (SELECT *, {_NAMED} AS school_name FROM a1), m AS (SELECT document_id, count(*) AS n_rows, avg(confidence + 0.003) AS mean_confidence, bool_or(coalesce(school_name, '') <> '') AS row_school FROM r GROUP BY 1),
  o AS (SELECT o_orderkey AS document_id, o_orderkey % 9 AS kept_pages FROM orders)
  SELECT document_id, CASE WHEN n_rows IS NULL THEN false WHEN row_school THEN true ELSE NOT (kept_pages <= 6 AND mean_confidence >= 0.85 AND n_rows <= 50) END AS verify FROM o LEFT JOIN m USING (document_id)"""))
 def q28_should_verify(spark, sf_dir):
-    rows = view(spark, sf_dir, "a1").withColumn("school_name", F.expr(_NAMED))
+    # no mean lies at the threshold, where sums of doubles differ by their order
+    rows = view(spark, sf_dir, "a1").withColumn("school_name", F.expr(_NAMED)).withColumn("confidence", F.col("confidence") + 0.003)
     kept = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("document_id"), (F.col("o_orderkey") % 9).alias("kept_pages"))
     return verification.should_verify(rows, kept).select("document_id", "verify")
 
@@ -311,9 +332,9 @@ def q32_exceedance_by_school(spark, sf_dir):
     return _facts(spark, sf_dir).groupBy("school_key", "school_name").agg(F.count("*").alias("n"), F.count_if(values.exceeds(F.col("result_ppb"), F.lit(15.0))).alias("n_exceeding"), F.max("result_ppb").alias("max_ppb"))
 
 
-@query(_with("a1", "a2", "a3", then=f", {_FACTS} SELECT school_name, coalesce(district, '') AS district, count(*) AS measurements, array_to_string(list_sort(list(DISTINCT file_name))[1:5], '; ') AS example_files FROM f WHERE district IS NULL OR school_name IS NULL GROUP BY ALL"))
+@query(_with("a1", "a2", "a3", then=f", {_FACTS} SELECT school_name, coalesce(district, '') AS district, count(*) AS measurements, array_to_string(list_sort(list(DISTINCT file_name))[1:5], '; ') AS example_files FROM f WHERE school_name IS NOT NULL AND document_id % 3 = 0 GROUP BY ALL"))
 def q33_unmatched_tally(spark, sf_dir):
-    return reports.unmatched(_facts(spark, sf_dir).where("district is null or school_name is null"))
+    return reports.unmatched(_facts(spark, sf_dir).where("document_id % 3 = 0"))
 
 
 @query(_with("a1", then=f""", {GATED}, p AS (SELECT document_id, count(*) FILTER (codes = '') AS written, count(*) FILTER (codes <> '') AS held, bool_or(codes = '' AND document_id % 3 = 0) AS row_school FROM g GROUP BY 1),
@@ -380,3 +401,57 @@ def q42_export_numbering(spark, sf_dir):
     """The export's order within a file, as row numbers by file."""
     w = Window.partitionBy("file_name").orderBy("document_id", "line_no", "result_raw", "result_ppb", "unit_raw", "school_key", "confidence")
     return _facts(spark, sf_dir).withColumn("i", F.row_number().over(w)).groupBy("file_name").agg(F.count("*").alias("n"), F.min("i").cast("long").alias("lo"), F.max("i").cast("long").alias("hi"))
+
+
+def _export_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return _facts(spark, sf_dir).withColumns({"fixture_type": nothing, "draw_type": nothing, "source_page": F.col("line_no"), "test_year": F.lit(None).cast("int")})
+
+
+@query()
+def q43_export_matched(spark, sf_dir):
+    """The export with each school matched to the lookup by its name. The scores have no SQL."""
+    return reports.matched(_export_facts(spark, sf_dir), lookup.build(view(spark, sf_dir, "a3d"), view(spark, sf_dir, "a3g")))[0]
+
+
+@query()
+def q44_unmatched_schools(spark, sf_dir):
+    return reports.matched(_export_facts(spark, sf_dir), lookup.build(view(spark, sf_dir, "a3d"), view(spark, sf_dir, "a3g")))[1]
+
+
+_NAMES = ("CASE WHEN o_orderkey % 4 > 0 THEN concat('School ', cast(o_orderkey % 40 AS varchar(5))) END AS school_name", "CASE WHEN o_orderkey % 7 > 0 THEN 'Alden' END AS district")
+_FOUND = (
+    "o_orderkey % 3 <> 0 AS school_name_correct", "CASE o_orderkey % 9 WHEN 0 THEN ' New School ' WHEN 3 THEN 'NS' WHEN 6 THEN repeat('x', 61) ELSE 'Right School' END AS school_name_suggested",
+    "CASE WHEN o_orderkey % 5 > 0 THEN true END AS district_correct", "CASE WHEN o_orderkey % 2 = 0 THEN 'North District' END AS district_suggested",
+)
+_NEW = lambda c: f"CASE WHEN NOT coalesce({c}_correct, false) AND length(trim({c}_suggested)) BETWEEN 3 AND 60 THEN trim({c}_suggested) END"
+_SAID = lambda title, old, new: f"CASE WHEN {new} IS NOT NULL THEN concat('{title} corrected: ', chr(39), coalesce({old}, 'None'), chr(39), ' -> ', chr(39), {new}, chr(39)) END"
+
+
+@query(f"""WITH n AS (SELECT o_orderkey AS document_id, {', '.join(_NAMES + _FOUND)} FROM orders), w AS (SELECT *, {_NEW('school_name')} AS s, {_NEW('district')} AS d FROM n)
+ SELECT document_id, coalesce(s, school_name) AS school_name, coalesce(d, district) AS district,
+ array_to_string(list_filter([{_SAID('School name', 'school_name', 's')}, {_SAID('District', 'district', 'd')}], lambda x: x IS NOT NULL), ' | ') AS renames FROM w""")
+def q45_verify_renames(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    fixed_names, found = (orders.selectExpr("o_orderkey AS document_id", *x) for x in (_NAMES, _FOUND))
+    return verification.corrected(fixed_names, found).select("document_id", "school_name", "district", F.array_join("renames", " | ").alias("renames"))
+
+
+@query(_with("a1", then="""SELECT document_id, CASE WHEN len(s) > 0 THEN array_to_string(s, ', ') ELSE '(all under report-level school)' END AS unique_schools FROM
+ (SELECT document_id, coalesce(list_sort(list(DISTINCT concat('School ', school_key % 10)) FILTER (line_no % 2 = 0)), []) AS s FROM a1 GROUP BY 1)"""))
+def q46_row_schools(spark, sf_dir):
+    return verification.row_schools(view(spark, sf_dir, "a1").selectExpr("document_id", "case when line_no % 2 = 0 then concat('School ', school_key % 10) when line_no % 3 = 0 then '' end as school_name"))
+
+
+@query(_with("a3d", "a3g", then=f""", o AS (SELECT trim(NCESSCH) AS k FROM a3d WHERE {_STATE}), g AS (SELECT trim(NCESSCH) AS k FROM a3g WHERE {_GEO})
+ SELECT (SELECT count(*) FROM a3d) AS directory_rows, (SELECT count(*) FROM o) AS directory_kept, (SELECT count(*) FROM a3g) AS geocode_rows, (SELECT count(*) FROM g) AS geocode_kept,
+ (SELECT count(*) FROM o WHERE k IN (SELECT k FROM g)) AS joined"""))
+def q47_lookup_counts(spark, sf_dir):
+    return lookup.kept_counts(view(spark, sf_dir, "a3d"), view(spark, sf_dir, "a3g"))
+
+
+@query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id = min(doc_id) OVER (PARTITION BY sha256(text)) THEN CASE WHEN doc_id % 10 = 0 THEN 'failed' ELSE 'ingested' END ELSE 'skipped' END AS outcome FROM documents)
+ SELECT count(*) FILTER (outcome = 'ingested') AS ingested, count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'failed') AS failed, count(*) AS total FROM d""")
+def q48_run_counters(spark, sf_dir):
+    f = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("file_hash"), (F.col("doc_id") % 10 == 0).alias("failed"))
+    return files.counters(files.outcomes(files.first_of_content(f, "doc_id")))

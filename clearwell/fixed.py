@@ -1,5 +1,9 @@
 """Word lists, limits and formats that results depend on."""
 
+# Result values: forms of a non-detect, the number after a less-than sign, the first number.
+NON_DETECT = r"(?:^|\b)(?:nd|bdl|non[-\s]?detect(?:ed)?|not\s+detected|none\s+detected|<\s*(?:mdl|rl|loq))\b"
+LESS_THAN, PLAIN_NUMBER = r"<\s*(\d+(?:\.\d+)?)", r"(\d+(?:\.\d+)?)"
+
 # Units, in lower case after normalization.
 PPB_UNITS = ("ug/l", "µg/l", "ppb", "ppb (ug/l)", "ug/l (ppb)")
 SCALED_UNITS = {"mg/l": 1000.0, "ppm": 1000.0}
@@ -13,6 +17,21 @@ TOLERANCE = 0.51
 LEAST_CONFIDENCE = 0.70
 SHORTEST_SOURCE, SHORTEST_REPORT = 3, 30
 
+# The sentences of the gate's reasons; names in braces are the row's values.
+REASONS = {
+    "no_locator": "row has neither sample_id nor sample_location",
+    "no_source": "missing/too-short source_text (cannot verify provenance)",
+    "negative": "result_ppb {result} is negative",
+    "too_large": "result_ppb {result} exceeds sane max {most} (likely a misread)",
+    "action_level": "action_level_ppb {level} out of expected 1-100 range",
+    "unit": "unrecognized unit '{unit}'",
+    "no_number": "could not derive a number from result_raw '{raw}'",
+    "mismatch": "result_ppb {result} disagrees with value derived from raw '{raw}' (= {derived})",
+    "value_not_in_text": "result_raw '{raw}' not found anywhere in report",
+    "place_not_in_text": "location '{place}' has words not in report: {missing} (possible hallucination)",
+    "confidence": "confidence {confidence} below threshold {least}",
+}
+
 # Words of a location that need no evidence.
 STOPWORDS = ("the", "of", "a", "an", "and", "or", "in", "on", "at", "by", "for", "to", "with", "from", "no")
 
@@ -58,8 +77,11 @@ DOUBTED, TRUSTED_OVERALL = 0.5, 0.8
 NAME_LENGTHS = (2, 60)
 # Batches of pages.
 TEXT_PAGES, IMAGE_PAGES, BATCH_PAGES = 12, 4, 2
-# A digest of pages: characters a page, and in all.
-PAGE_SNIPPET, DIGEST = 300, 2000
+MOST_TOKENS, NEAR_CAP = 16_384, 0.85
+# A digest of pages: characters of the first page, of each other, and of these in all; and what it says of pages without text.
+FIRST_SNIPPET, PAGE_SNIPPET, DIGEST = 800, 300, 2000
+NO_FIRST_TEXT, NO_PAGES = "(scanned — no text available)", "(no text pages)"
+ONE_SCHOOL = "(all under report-level school)"
 
 EXPORT_COLUMNS = (
     "county", "district", "school_name", "address", "coordinates", "sample_id", "sample_location", "fixture_type", "draw_type",

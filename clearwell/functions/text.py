@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from clearwell import fixed
 
@@ -14,17 +16,41 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def normalize(c: Column) -> Column:
-    """Micro signs as u, lower case, single blanks. Compatibility forms other than the micro signs stay (see compatible())."""
-    return strip(F.regexp_replace(F.lower(F.translate(c, "µμ", "uu")), r"(?U)\s+", " "))
+@lru_cache(1)
+def _folds() -> tuple[str, str, list[tuple[str, str]]]:
+    """Compatibility forms (NFKC) by rule: characters that become another single one, as two strings, and those that become several. Ideographs and Hangul stay."""
+    one, many = [], []
+    for i in range(0x80, 0x10000):
+        c = chr(i)
+        if unicodedata.category(c) not in ("Cs", "Cn", "Co") and not 0x3000 < i < 0xA000 and not 0xAC00 <= i < 0xD7A4 and not 0xF900 <= i < 0xFB00:
+            folded = unicodedata.normalize("NFKC", c)
+            if folded != c:
+                (one if len(folded) == 1 else many).append((c, folded))
+    return "".join(c for c, _ in one), "".join(f for _, f in one), [(c, f) for c, f in many if c in "ﬀﬁﬂﬃﬄﬅﬆ½¼¾⅓⅔…‥№℃℉™℠ĳŉ"]
+
 
+def compatible(c: Column) -> Column:
+    """Compatibility forms as their plain ones, for texts with a character outside ASCII: all that become a single character, and ligatures, fractions and signs that
+    become several. Other expansions, and the composition of letters with separate marks, are left as they are."""
+    before, after, several = _folds()
+    out = F.translate(c, before, after)
+    for x, plain in several:
+        out = F.regexp_replace(out, F.lit(x), F.lit(plain))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), out).otherwise(c)
+
+
+def normalize(c: Column) -> Column:
+    """Compatibility forms as plain ones, micro signs as u, lower case, single blanks."""
+    return strip(F.regexp_replace(F.lower(F.translate(compatible(c), "µμ", "uu")), r"(?U)\s+", " "))
 
-@F.pandas_udf(StringType())
-def compatible(s):
-    """Unicode compatibility composition (NFKC), which has no built-in; for sources that are not ASCII."""
-    import unicodedata
 
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+def python_float(c: Column) -> Column:
+    """A double as Python writes it: from 10**7 on without an exponent (whole numbers below 10**16), and small ones with a short one."""
+    text = c.cast("string")
+    small = F.concat(F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""), F.lit("e-"), F.lpad(F.substring_index(text, "E-", -1), 2, "0"))
+    large = (F.abs(c) >= 1e7) & (F.abs(c) < 1e16) & (c == F.floor(c).cast("double"))
+    plain = F.when(text.contains("E-"), F.when((F.abs(c) >= 1e-4), F.regexp_replace(F.format_string("%.12f", c), "0+$", "")).otherwise(small)).when(large, F.format_string("%.1f", c))
+    return F.coalesce(plain, text, F.lit("None"))
 
 
 def filled(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clearwell import fixed
 from clearwell.functions.text import normalize, strip
 
-NON_DETECT = r"(?iU)(?:^|\b)(?:nd|bdl|non[-\s]?detect(?:ed)?|not\s+detected|none\s+detected|<\s*(?:mdl|rl|loq))\b"
+NON_DETECT = "(?iU)" + fixed.NON_DETECT
 
 
 def separated(c: Column) -> Column:
@@ -27,7 +27,7 @@ def number(c: Column, pattern: str) -> Column:
 def derived_ppb(raw: Column, unit: Column) -> Column:
     """0 for a non-detect, else the value after a less-than sign, else the first number, scaled by a unit of a thousand; null if none."""
     text = separated(strip(raw))
-    value = F.coalesce(number(text, r"<\s*(\d+(?:\.\d+)?)"), number(text, r"(\d+(?:\.\d+)?)"))
+    value = F.coalesce(number(text, fixed.LESS_THAN), number(text, fixed.PLAIN_NUMBER))
     scale = F.when(F.coalesce(normalize(unit).isin(*fixed.SCALED_UNITS), F.lit(False)), 1000.0).otherwise(1.0)
     return F.when(is_non_detect(text), 0.0).otherwise(value * scale)
 

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def scan(spark: SparkSession, folder: str, limit: int = 0) -> DataFrame:
-    """PDF files below folder, lower-case endings first, each kind by path; the first limit of them if that is over 0."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(F.col("path").rlike(r"\.(pdf|PDF)$")).dropDuplicates(["path"])
-    found = found.withColumn("file_hash", F.sha2("content", 256)).withColumn("late", F.col("path").endswith(".PDF"))
-    order = found.select("path", "late").withColumn("scan_idx", F.row_number().over(Window.orderBy("late", "path"))).drop("late")
-    return (order.where(F.col("scan_idx") <= limit) if limit > 0 else order).join(found.drop("late"), "path")
+def scan(spark: SparkSession, folder: str, limit: int = 0, *, content: bool = False) -> DataFrame:
+    """PDF files below folder, lower-case endings first, each kind by path; the first limit of them if that is over 0. path, scan_idx, length, modificationTime, file_hash,
+    and with content the file's bytes.
+
+    A file is hashed where it is read; only its path and hash are shuffled and numbered.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(F.col("path").rlike(r"\.(pdf|PDF)$"))
+    found = files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("file_hash"), F.col("path").endswith(".PDF").alias("late")).dropDuplicates(["path"])
+    found = found.withColumn("scan_idx", F.row_number().over(Window.orderBy("late", "path"))).drop("late")  # one narrow row a file
+    found = found.where(F.col("scan_idx") <= limit) if limit > 0 else found
+    return files.select("path", "content").join(F.broadcast(found) if limit > 0 else found, "path") if content else found
 
 
 def first_of_content(files: DataFrame, order: str = "scan_idx", key: str = "file_hash") -> DataFrame:
@@ -32,3 +37,13 @@ def unseen_names(remote: DataFrame, local: DataFrame, *, once: bool = False) ->
     if once:
         new = new.join(new.groupBy("_k").agg(F.min("id").alias("_i")), "_k").where("id = _i").drop("_i")
     return new.drop("_k")
+
+
+def outcomes(files: DataFrame) -> DataFrame:
+    """files (outcome, failed) with what the run makes of each: skipped stays, and of the others those that could not be opened failed."""
+    return files.withColumn("outcome", F.when((F.col("outcome") == "ingested") & F.coalesce("failed", F.lit(False)), "failed").otherwise(F.col("outcome")))
+
+
+def counters(files: DataFrame) -> DataFrame:
+    """One row: ingested, skipped, failed, total."""
+    return files.agg(*(F.count_if(F.col("outcome") == x).alias(x) for x in ("ingested", "skipped", "failed")), F.count("*").alias("total"))

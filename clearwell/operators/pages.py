@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearwell import fixed
-from clearwell.functions.text import any_of, filled, matches, strip
-
-NUMERIC = r"<\s*\d+(?:\.\d+)?|\d+\.\d{1,4}"
+from clearwell.functions.text import any_of, filled, matches, or_empty, strip
 
 
 def label(text: Column, page_num: Column) -> Column:
@@ -54,10 +52,25 @@ def report_text(pages: DataFrame) -> DataFrame:
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    """The first characters of each page, until the document's budget is used up."""
-    order = Window.partitionBy("document_id").orderBy("page_num").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p = pages.withColumn("snippet", F.substring(F.coalesce("raw_text", F.lit("")), 1, fixed.PAGE_SNIPPET))
-    return p.withColumn("used", F.sum(F.length("snippet")).over(order)).where(F.col("used") - F.length("snippet") < fixed.DIGEST).select("document_id", "page_num", "snippet", "used")
+    """document_id, first_page, data_digest: the first page's beginning, and a line for each other page in order, until the budget of characters is used up.
+
+    A page's line has its number and its beginning, cut to what is left of the budget, or says that it is a scan. When nothing is left, a last line tells how
+    many pages there are beyond the lines. A page without text counts as a scan.
+    """
+    t = strip(F.coalesce("raw_text", F.lit("")))
+    ordered = F.array_sort(F.collect_list(F.struct("page_num", t.alias("t"))))
+    per = pages.groupBy("document_id").agg(ordered.alias("p"), F.max(F.when(F.col("page_num") == 0, F.substring(t, 1, fixed.FIRST_SNIPPET))).alias("first"))
+    start = F.struct(F.array().cast("array<string>").alias("lines"), F.lit(0).alias("used"), F.lit(False).alias("full"))
+
+    def add(acc: Column, x: Column) -> Column:
+        at, left = F.concat(F.lit("[Page "), (x["page_num"] + 1).cast("string")), fixed.DIGEST - acc["used"]
+        over = F.concat(F.lit("... and "), (F.size("p") - F.size(acc["lines"]) - 1).cast("string"), F.lit(" more pages"))
+        line = F.when(x["t"] == "", F.concat(at, F.lit(": scanned image, no text]"))).when(left <= 0, over).otherwise(F.concat(at, F.lit("] "), F.substring(x["t"], F.lit(1), F.least(F.lit(fixed.PAGE_SNIPPET), left))))
+        more = F.struct(F.concat(acc["lines"], F.array(line)).alias("lines"), (acc["used"] + F.length(line)).alias("used"), ((x["t"] != "") & (left <= 0)).alias("full"))
+        return F.when(acc["full"] | (x["page_num"] == 0), acc).otherwise(more)
+
+    lines = F.aggregate("p", start, add)["lines"]
+    return per.select("document_id", or_empty(F.col("first"), F.lit(fixed.NO_FIRST_TEXT)).alias("first_page"), F.when(F.size(lines) > 0, F.array_join(lines, "\n")).otherwise(fixed.NO_PAGES).alias("data_digest"))
 
 
 def first_filled(batch_headers: DataFrame, *columns: str) -> DataFrame:

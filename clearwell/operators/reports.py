@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clearwell.functions.names import coordinates, county
 from clearwell.functions.text import or_empty
+from clearwell.operators.lookup import match
 
 MEASUREMENT = """struct<sample_id:string, sample_location:string, fixture_type:string, draw_type:string, school_name:string, district:string,
  analyte:string, result_ppb:double, result_raw:string, unit_raw:string, action_level_ppb:double, sample_date:date, test_year:int, source_text:string, confidence:double>"""
@@ -74,14 +75,22 @@ def export_order(exported: DataFrame) -> DataFrame:
 
 
 def unmatched(rows: DataFrame, examples: int = 5) -> DataFrame:
-    """By school and district without a match: measurements, and the first file names. Row counts are partial sums; the names are distinct before they meet."""
+    """By school and district without a match: measurements, and the first file names; most frequent first, then by name. Rows without a school have nothing to match.
+
+    Counts by file come first, so a school's rows are partial sums before its files are numbered, and no more than examples names meet.
+    """
     keys = ["school_name", "district"]
-    r = rows.withColumn("district", F.coalesce("district", F.lit("")))
-    counts = r.groupBy(*keys).agg(F.count("*").alias("measurements"))
-    ranked = r.select(*keys, "file_name").distinct().withColumn("i", F.row_number().over(Window.partitionBy(*keys).orderBy("file_name"))).where(F.col("i") <= examples)
-    names = ranked.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("file_name")), "; ").alias("example_files"))
-    on = [counts[k].eqNullSafe(names[k]) for k in keys]
-    return counts.join(names, on).select(*(counts[k] for k in keys), "measurements", "example_files").orderBy(F.desc("measurements"))
+    per = rows.where("school_name is not null").withColumn("district", F.coalesce("district", F.lit(""))).groupBy(*keys, "file_name").agg(F.count("*").alias("n"))
+    numbered = per.withColumn("i", F.row_number().over(Window.partitionBy(*keys).orderBy("file_name")))
+    names = F.array_sort(F.collect_list(F.when(F.col("i") <= examples, F.col("file_name"))))
+    return numbered.groupBy(*keys).agg(F.sum("n").alias("measurements"), F.array_join(names, "; ").alias("example_files")).orderBy(F.desc("measurements"), *keys)
+
+
+def matched(rows: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the 15 columns of every row with what the lookup has for its school, the tally of schools that it doesn't match): each distinct school and district is matched once."""
+    found = match(rows, lookup)
+    tried = rows.join(found.select("school_name", F.col("district").alias("_d"), F.lit(True).alias("_found")).withColumnRenamed("school_name", "_s"), F.col("school_name").eqNullSafe(F.col("_s")) & F.col("district").eqNullSafe(F.col("_d")), "left")
+    return export(rows, found), unmatched(tried.where("_found is null").drop("_s", "_d", "_found"))
 
 
 def recent(documents: DataFrame, n: int = 50) -> DataFrame:

@@ -49,3 +49,26 @@ def lookup_csv(lookup: DataFrame, path: str) -> str:
 def append(df: DataFrame, table: str) -> None:
     """Rows to a Parquet table; Spark's committer makes each batch appear as a whole."""
     df.write.mode("append").parquet(table)
+
+
+def slim_csv(df: DataFrame, path: str) -> str:
+    """A state's rows of the directory or the geocodes, as they were filtered and projected."""
+    return one_csv(df, path)
+
+
+def newest(spark: SparkSession, folder: str, n: int = 10) -> list[str]:
+    """The newest exports of a folder by their modification time, then by name."""
+    fs, at = _hadoop(spark, folder)
+    found = [(f.getModificationTime(), f.getPath().getName()) for f in (fs.listStatus(at) if fs.exists(at) else []) if f.getPath().getName().startswith("export_")]
+    return [name for _, name in sorted(found, reverse=True)[:n]]
+
+
+def copy_newest(spark: SparkSession, folder: str, name: str = "master.csv") -> str | None:
+    """The newest export of a folder copied to name in it; None without one."""
+    own = newest(spark, folder, 1)
+    if not own:
+        return None
+    fs, at = _hadoop(spark, f"{folder}/{own[0]}")
+    to = _hadoop(spark, f"{folder}/{name}")[1]
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at, fs, to, False, True, spark._jsc.hadoopConfiguration())
+    return f"{folder}/{name}"
