@@ -76,7 +76,7 @@ def _configuration(lengths: list[int], choice: list[int], capacity: int) -> Coun
     return out
 
 
-def fractional(demand: dict[int, int], size: int, *, eta: float = 0.2, long: float = 0.3, stride: float = 0.5, columns: int = 128, near: float = 0.1, cover: float = 0.95) -> tuple[list[tuple[dict[int, int], float]], float]:
+def fractional(demand: dict[int, int], size: int, *, eta: float = 0.2, long: float = 0.3, stride: float = 0.5, columns: int = 128, near: float = 0.1, cover: float = 0.9) -> tuple[list[tuple[dict[int, int], float]], float]:
     """A solution of the configuration linear program: ({length: copies}, how many sequences of it) for each configuration, and a lower bound.
 
     The program covers each length's demand by fractions of configurations, with the fewest sequences. Multiplicative weights solve it: a length's
