@@ -591,6 +591,79 @@ def test_words_are_counted_exactly(spark):
     assert counted(spark, [None]).surprises([b"a", None], [[b"a"], []], [0, 1])[1] == (None, None)
 
 
+def test_words_after_words_are_counted_exactly(spark):
+    rng = random.Random(23)
+    texts = [" ".join(["the" if rng.random() < 0.3 else f"w{int(rng.expovariate(0.05))}" for _ in range(200)]) for _ in range(60)] + ["alone", "", "only here the w1", None, "w1 w2", "once", None, "once the here"]
+    rows = [("en", i % 2, x if x is None else bytearray(x.encode())) for i, x in enumerate(texts)]
+    found = quality.count(spark.createDataFrame(rows, "group string, half int, text binary"), most=500)
+    model, split = quality.Model(*found), [x.split() if x else [] for x in texts]
+    assert len(found[4][0]) > 10 and len({int(x) >> 32 for x in found[4][0]}) < len(found[4][0])  # many ranges, a frequent word's own cut too
+    n = [Counter(p for x in split[i::2] for p in zip(x[:-1], x[1:], strict=True)) for i in (0, 1)]
+    vocabulary = sorted({w for x in split for w in x}, key=lambda w: int(common.word_hashes(w.encode()).view(np.int64)[0]))
+    number = dict(zip(vocabulary, model.words.find(np.array([common.word_hashes(w.encode()).view(np.int64)[0] for w in vocabulary]))[1].tolist(), strict=True))
+    assert sorted(number.values()) == list(range(len(number))) and number["the"] == 0
+    keys = sorted({(number[a] << 32) + number[b] for a, b in n[0] | n[1]})
+    name = {i: w for w, i in number.items()}
+    pairs = [(name[k >> 32], name[k & 0xFFFFFFFF]) for k in keys]
+    assert model.together(np.array(keys, np.uint64)).tolist() == [[n[0][p], n[1][p]] if n[0][p] and n[1][p] else [0, 0] for p in pairs]
+
+    def discounts(counts):
+        n1, n2, n3, n4 = (sum(v == k for v in counts) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        return np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 0.95, 1.9, 2.9])  # of few counts they may lie beyond
+
+    for half in (0, 1):  # interpolated modified Kneser-Ney, by hand
+        own, before = n[1 - half], Counter(b for _, b in n[1 - half])
+        d, e, slots = discounts(own.values()), discounts(before.values()), 2 * model.totals[:, 1].sum() + 1
+        assert np.allclose(model.off[1 - half], d)
+        left = sum(e[min(k, 3)] for k in before.values()) + 1
+        lower = lambda w: (max(before[w] - e[min(before[w], 3)], 0) + left / slots) / (before.total() + 1)  # noqa: B023, E731
+
+        def after(v, w):
+            of = [c for (a, _), c in own.items() if a == v]  # noqa: B023
+            return (max(own[v, w] - d[min(own[v, w], 3)], 0) + sum(d[min(c, 3)] for c in of) * lower(w)) / sum(of) if of else lower(w)  # noqa: B023
+
+        for v in ("the", "w1", "w30", "once"):
+            unseen = slots - len(vocabulary)
+            assert np.isclose(sum(after(v, w) for w in vocabulary) + unseen * after(v, "never"), 1)
+        for text in filter(None, texts[half::2]):  # those that were counted
+            words = text.split()
+            (got, alone), _ = model.surprises([text.encode()], [text.encode().split()], [half])[0]
+            h = common.word_hashes(words[0].encode()).view(np.int64)
+            assert np.isclose(got * len(words), -model.logs(h)[0, half] - sum(np.log(after(v, w)) for v, w in zip(words[:-1], words[1:], strict=True)), rtol=1e-5)
+    alone = model.surprises([b"alone", b"", b"once"], [[b"alone"], [], [b"once"]], [0, 0, 1])
+    assert alone[0][0][0] == alone[0][0][1] and alone[1] == (None, None)
+
+
+def test_packed_pairs_return():
+    rng = np.random.default_rng(3)
+    for size, top in ((0, 9), (1, 9), (5000, 60), (5000, 1 << 32)):
+        keys = np.unique((rng.integers(0, top, size).astype(np.uint64) << np.uint64(32)) | rng.integers(0, top, size).astype(np.uint64))
+        n = rng.integers(1, 70_000, len(keys)).astype(np.uint64)
+        got = quality.unpacked_pairs(quality.packed_pairs(keys, n))
+        assert got[0].tolist() == keys.tolist() and got[1].tolist() == n.tolist()
+
+
+def test_shuffled_words_are_rejected(spark):
+    rng = random.Random(29)
+    known = ["".join(rng.choice(["ta", "re", "lo", "ni", "su", "mo", "ke", "pä"]) for _ in range(4)) for _ in range(400)]
+    follow = {w: rng.sample(known, 6) for w in known}
+
+    def text(n=150):
+        out = [rng.choice(known)]
+        while len(out) < n:
+            out.append(rng.choice(follow[out[-1]]))
+        return out
+
+    rows = [(i, " ".join(text()), "en") for i in range(300)]
+    rows += [(1000 + i, " ".join(rng.sample(own := text(), len(own))), "en") for i in range(5)]  # real words as often as elsewhere, in no order
+    rows += [(2000 + i, rows[0][1], "en") for i in range(2)]  # copies
+    got = {r.doc_id: r for r in quality.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert max(r.perplexity for r in got.values()) < 1e6  # no word without a mass, though every pair comes often
+    assert not any(got[1000 + i].kept or got[1000 + i].base_failed for i in range(5))
+    assert sum(got[i].kept for i in range(300)) >= 285 and got[2000].kept and got[2001].kept
+
+
 def test_spellings_and_their_model_sum_to_one():
     words = [w.encode() for w in "the cat sat on the mat and the rat ran the test étude".split()]
     code, of = quality.spellings(words)
